@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from weftline import catalog
+from weftline.operators import profile
+from weftline.operators.simjoin import JoinConfig
+from weftline.plans import pipeline
+from weftline.plans.config import EmbedConfig, PipelineConfig, SegmentConfig, from_dict
+from weftline.sources import readers, writers
+from weftline.streaming import segments as streaming
+
+LINES = ["", '{"text": "One two three. Four five six.", "file_id": "x"}', "not json", '{"content": "One two three. Seven."}', '[1]', '{"text": ""}']
+
+
+@pytest.fixture
+def jsonl(tmp_path):
+    path = tmp_path / "in.jsonl"
+    path.write_text("\n".join(LINES) + "\n", encoding="utf-8")
+    return str(path)
+
+
+def test_documents(spark, jsonl):
+    rows = readers.read_documents(spark, jsonl).orderBy("line_number").collect()
+    assert [(r.line_number, r.file_id, r.text) for r in rows] == [
+        (2, "x", "One two three. Four five six."), (4, "Unknown_Source", "One two three. Seven."),
+    ]
+    assert profile.jsonl_profile(spark.read.text(jsonl)).first().total == len(LINES)
+
+
+LATIN = PipelineConfig(
+    segment=SegmentConfig(profile="latin", clean_foreign=False, remove_spaces=False),
+    embed=EmbedConfig(dual_layer=True, transliterate=False),
+    detect=JoinConfig(threshold=0.9),
+)
+
+
+def test_full_run(spark, jsonl, tmp_path):
+    docs = readers.read_documents(spark, jsonl).select("line_number", "text", "file_id")
+    segs = pipeline.run(docs, LATIN, ("embed",))
+    assert segs.columns[:3] == ["Segmented_Text", "Segmented_Text_EWTS", "Length"]
+    path = writers.write_segments(segs, str(tmp_path / "seg"))
+    assert path.endswith("exclusive/Full_Files")
+    again = readers.read_segments(spark, path)
+    assert again.count() == segs.count() == 3 and readers.corpus_files(again).count() == 2
+    rows = pipeline.run(docs, LATIN).collect()
+    assert [(r.segment_a_id, r.segment_b_id, r.mapping_type, r.wylie_syllable_distance) for r in rows] == [("2_2", "4_2", "textual", 0)]
+    vectors = pipeline.run(docs, LATIN, ("detect",))
+    summary = writers.write_vectors(vectors, str(tmp_path / "vec"), "per_line").collect()
+    assert [(r.Source_Line_Number, r.num_segments) for r in summary] == [(2, 2), (4, 1)]
+
+
+@pytest.mark.parametrize("mode", [{"mode": "overlapping", "min_chars": 3}, {"min_words": 1, "max_words": 2}, {"engine": "tokens"}])
+def test_modes(spark, jsonl, mode):
+    docs = readers.read_documents(spark, jsonl)
+    config = SegmentConfig(profile="latin", clean_foreign=False, remove_spaces=False, **mode)
+    rows = pipeline.segment_documents(docs, config).collect()
+    texts = {r.line_number: r.text for r in docs.collect()}
+    assert rows and all(r.text in texts[r.line_number] for r in rows)
+
+
+def test_writers(spark, tmp_path):
+    df = spark.createDataFrame([("ཀ \x01x", 1.5), ('q"uo,te\nline', 2.0), (None, 3.0)], "text_tibetan_a string, score double")
+    writers.write_matches(df, str(tmp_path / "c"), "csv", rows_per_file=1)
+    rows = readers.read_matches(spark, str(tmp_path / "c"), "csv", "text_tibetan_a string, score double").orderBy("score").collect()
+    assert [r.text_tibetan_a for r in rows] == ["ཀ x", 'q"uo,te\nline', None]
+    plain = df.where("score = 1.5")
+    writers.write_csv(plain, str(tmp_path / "u"), "UTF-16LE")
+    assert writers.read_csv(spark, str(tmp_path / "u"), "t string, s double", "UTF-16LE").first().t == "ཀ x"
+    writers.write_matches(df, str(tmp_path / "j"), "json", include_text=False)
+    assert readers.read_matches(spark, str(tmp_path / "j"), "parquet" if False else "json", "score double").columns == ["score"]
+    assert len(writers.purge(spark, [str(tmp_path)])) == 3
+    writers.purge(spark, [str(tmp_path)], dry_run=False)
+    assert writers.purge(spark, [str(tmp_path)]) == []
+
+
+def test_text_folders(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a b.txt").write_text("alpha\nbeta")
+    (tmp_path / "sub" / "c.txt").write_text("gamma")
+    flat = readers.read_texts(spark, str(tmp_path), "poc/").collect()
+    assert [(r.name, r.text) for r in flat] == [("poc/a b.txt", "alpha\nbeta")]
+    deep = {r.name for r in readers.read_texts(spark, str(tmp_path), "corpus/", recursive=True).collect()}
+    assert deep == {"corpus/a b.txt", "corpus/sub/c.txt"}
+    writers.write_documents(readers.texts_as_documents(readers.read_texts(spark, str(tmp_path))), str(tmp_path / "out"))
+    assert json.loads(next((tmp_path / "out").glob("part-*")).read_text().splitlines()[0])["file_id"] == "a b"
+
+
+def test_config():
+    c = from_dict(PipelineConfig, {"segment": {"profile": "latin"}, "enrichers": [{"name": "mapping_type"}]})
+    assert c.segment.profile == "latin" and c.enrichers == ({"name": "mapping_type"},)
+    for bad in ({"nope": 1}, {"segment": {"mode": "x"}}, {"segment": {"profile": "x"}}):
+        with pytest.raises(ValueError):
+            from_dict(PipelineConfig, bad)
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"text": "One two. Three four!", "file_id": "x"}\n{"content": "Five."}\n')
+    config = SegmentConfig(profile="latin", clean_foreign=False, remove_spaces=False, min_syllables=0)
+    out = streaming.segment_stream(streaming.read_document_stream(spark, str(tmp_path / "in")), config)
+    query = streaming.write_segment_stream(out, str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.processAllAvailable()
+    query.stop()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {(r.file_id, r.text) for r in rows} == {("x", "One two."), ("x", "Three four!"), ("Unknown_Source", "Five.")}
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+    assert set(catalog.oracle_sql()) <= set(catalog.queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_plans_prune_and_push_down(spark, sf_dir):
+    from weftline.plans.runtime import read_table
+
+    df = read_table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan and "text" not in plan.split("ReadSchema")[1]

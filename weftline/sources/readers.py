@@ -82,9 +82,7 @@ def read_matches(spark: SparkSession, path: str, form: str = "parquet", schema:
 
 def read_texts(spark: SparkSession, folder: str, prefix: str = "", recursive: bool = False) -> DataFrame:
     """(name, text) of the .txt files of a folder, whole; names are paths below it after ``prefix``."""
-    df = (
-        spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").option("recursiveFileLookup", recursive).text(folder)
-    )
+    df = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt", recursiveFileLookup=recursive)
     path = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
     base = folder.rstrip("/").split("://")[-1]
     name = F.substring_index(path, base + "/", -1) if recursive else F.regexp_extract(path, r"([^/]+)$", 1)
