@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import corpus_pipeline as P
+from tests.llm.cases import PROSE, SCHEMA, frame, rows
+from tests.llm.test_decontaminate import brute as leaks
+from tests.llm.test_linededup import within_and_across
+from tests.llm.test_neardup import brute as groups
+from weftline.llm.queries import LINE_WORDS
+from weftline.plans.runtime import materialize, read_table
+
+
+def test_stages_against_brute_force(spark, sf_dir):
+    """Each stage's decisions, on what the stage before kept."""
+    docs = read_table(spark, sf_dir, "documents")
+    labels = {r.doc_id: r.quality for r in read_table(spark, sf_dir, "labels").collect()}
+    for name, stage in P.STAGES:
+        before = [tuple(r) for r in docs.collect()]
+        out = materialize(stage(spark, docs, sf_dir), "test")
+        after = [tuple(r) for r in out.collect()]
+        ids = {r[0] for r in after}
+        if name != "mixing":
+            assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        if name == "quality":
+            gone = {r[0] for r in before} - ids
+            judged = [labels[d] == (d in ids) for d in labels]
+            assert set(after) <= set(before) and gone and sum(judged) / len(judged) > 0.9
+        if name == "line_dedup":
+            want = {}
+            for (d, text), deleted in within_and_across(before, LINE_WORDS).items():
+                kept = [x for k, x in enumerate(text.split("\n")) if k not in set(deleted) and x.strip()]
+                if kept or not deleted:
+                    want[d] = kept
+            assert {r[0]: [x for x in r[1].split("\n") if x.strip()] for r in after} == want
+            assert all(r[4] == len(r[1]) for r in after)
+        if name == "near_duplicates":
+            assert ids == {d for d, _, root in groups(before, 5) if d == root}
+        if name == "decontamination":
+            items = [(str(r.item_id), r.text) for r in read_table(spark, sf_dir, "benchmark").collect()]
+            assert ids == {r[0] for r in before if not leaks(r[1], items, 10)[1]}
+        if name == "mixing":
+            assert set(r[:5] for r in after) <= set(before) and 0 < len(after) < len(before)
+        docs = out
+
+
+def test_cases_and_empty_tables(spark, tmp_path):
+    for t, schema, data in (
+        ("labels", "doc_id long, quality int, toxic int", [(1, 1, 0), (9, None, 0), (None, 0, 0)]),
+        ("benchmark", "item_id long, text string", [(1, PROSE.split(" while")[0] + " x y z"), (2, None)]),
+    ):
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/a/{t}.parquet")
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/b/{t}.parquet")
+    frame(spark).write.parquet(f"{tmp_path}/a/documents.parquet")
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/b/documents.parquet")
+    assert P.run(spark, f"{tmp_path}/b").count() == 0
+    left = P.run(spark, f"{tmp_path}/a").collect()
+    assert len(left) <= len(rows()) and sum(r.text == PROSE for r in left) <= 1

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.plans.runtime import bounded_broadcast, materialize
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -19,9 +21,20 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
-def null_safe(left, right, names: list[str]) -> Column:
-    """Equality on ``names`` that also joins null to null."""
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & left[n].eqNullSafe(right[n])
-    return cond
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` doesn't have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{stem}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_ids(docs: DataFrame, id_col: str, lost: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is in ``lost``, a table of one column; null matches null.
+
+    ``lost`` is sent to every executor if its counted rows are few, else both sides shuffle.
+    """
+    name = fresh(docs, "lost")
+    lost = bounded_broadcast(materialize(lost.toDF(name).distinct(), "lost"), row_bytes=16)
+    return docs.join(lost, docs[id_col].eqNullSafe(F.col(name)), "left_anti")

@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.plans.runtime import bounded_broadcast, materialize, small_batches
+from weftline.llm.common import without_ids
+from weftline.plans.runtime import small_batches
 
 WINDOW = 10
 SPANS = "array<struct<s:int,e:int>>"
@@ -201,6 +202,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     null id goes if any row with a null id is contaminated.
     """
     bad = contamination(docs, benchmark, id_col=id_col, **options).where("contaminated")
-    bad = materialize(bad.select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    bad = bounded_broadcast(bad, row_bytes=16)
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__bad")), "left_anti")
+    return without_ids(docs, id_col, bad.select("doc_id"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.llm.common import ascii_lower
+from weftline.llm.common import ascii_lower, without_ids
 from weftline.plans.runtime import shuffle_partitions
 
 #: Leading characters that the range splitters see; the rest is ordered by hash, then in full.
@@ -86,13 +86,7 @@ def drop_exact_duplicates(
 ) -> DataFrame:
     """``docs`` without the rows whose text another row, which stays, has as well.
 
-    Rows are matched by id, so ids should be unique; rows with a null id go if any other row
-    has their text.
+    Rows are matched by id, so ids should be unique: a row goes if any row with its id goes.
     """
-    lost = (
-        exact_duplicates(docs, id_col, text_col, keep)
-        .where(~F.col("kept"))
-        .select(F.col("doc_id").alias("__lost"))
-        .distinct()
-    )
-    return docs.join(lost, docs[id_col].eqNullSafe(F.col("__lost")), "left_anti")
+    lost = exact_duplicates(docs, id_col, text_col, keep).where(~F.col("kept")).select("doc_id")
+    return without_ids(docs, id_col, lost)

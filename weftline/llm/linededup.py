@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weftline.llm.common import fresh
 from weftline.plans.runtime import bounded_broadcast, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -114,22 +115,22 @@ def drop_repeated_lines(
     """``docs`` with cleaned text and n_lines, n_deleted, deleted_lines (positions from 0).
 
     All columns of ``docs`` stay.  A null text stays null and has no lines; an empty text is
-    one empty line.  Lines without words are never part of a run and stay.  Rows that repeat
-    an id with the same text are one document and are cleaned alike.  Null ids come first in
+    one empty line.  Lines without words don't count in comparisons; inside a repeated window
+    they go with it, elsewhere they stay.  Rows that repeat an id with the same text are one document
+    and are cleaned alike.  Null ids come first in
     the order of documents.
     """
     ranges = materialize(repeated_lines(docs, min_words, id_col, text_col), "line-ranges")
     deleted = F.flatten(F.transform("ranges", lambda r: F.sequence(r["start"], r["end"])))
+    doc, hashed, gone = fresh(docs, "id"), fresh(docs, "tkey"), fresh(docs, "gone")
     edits = ranges.select(
-        F.col("doc_id").alias("__id"), F.col("tkey").alias("__tkey"), F.array_sort(F.array_distinct(deleted)).alias("__gone")
+        F.col("doc_id").alias(doc), F.col("tkey").alias(hashed), F.array_sort(F.array_distinct(deleted)).alias(gone)
     )
     edits = bounded_broadcast(edits, row_bytes=256)
-    text = F.col(text_col)
-    out = docs.join(
-        edits, docs[id_col].eqNullSafe(edits["__id"]) & (F.xxhash64(docs[text_col]) == edits["__tkey"]), "left"
-    )
+    text = docs[text_col]
+    out = docs.join(edits, docs[id_col].eqNullSafe(edits[doc]) & (F.xxhash64(text) == edits[hashed]), "left")
     # The lambda binds the split lines once; indexing them is then constant time.
-    held = F.array(F.struct(F.split(text, "\n", -1).alias("lines"), F.col("__gone").alias("gone")))
+    held = F.array(F.struct(F.split(text, "\n", -1).alias("lines"), F.col(gone).alias("gone")))
     none = F.array().cast("array<int>")
     kept = F.transform(
         held,
@@ -141,13 +142,13 @@ def drop_repeated_lines(
             "\n",
         ),
     )[0]
-    cleaned = F.when(F.col("__gone").isNull(), text).otherwise(kept)
+    cleaned = F.when(F.col(gone).isNull(), text).otherwise(kept)
     own = [docs[c] for c in docs.columns if c != text_col]
     out = out.select(
         *own,
         cleaned.alias(text_col),
         F.when(text.isNull(), 0).otherwise(F.regexp_count(text, F.lit("\n")) + 1).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_deleted"),
-        F.coalesce(F.array_join("__gone", ","), F.lit("")).alias("deleted_lines"),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_deleted"),
+        F.coalesce(F.array_join(gone, ","), F.lit("")).alias("deleted_lines"),
     )
     return out

@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.common import fresh
+
 #: Stands for every category that a target doesn't name.
 REST = "*"
 
@@ -151,24 +153,25 @@ def mix_documents(docs: DataFrame, targets: MixTargets, topic: Column | None = N
     )
 
 
+def uniform(key: Column, seed: str) -> Column:
+    """A number in [0, 1) from the MD5 of seed and key: 52 bits, the same on every engine."""
+    text = F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
 def sample_mix(docs: DataFrame, targets: MixTargets, topic: Column | None = None, **names: str) -> DataFrame:
     """The rows of ``docs`` that the mix keeps, with all their columns and ``mix_probability``."""
     keys = _keyed(docs, targets, topic, names)
-    tagged = docs.withColumns({f"__{k}": v for k, v in keys.items()})
-    cells = tagged.groupBy([F.col(f"__{k}").alias(k) for k in keys]).agg(
+    own = {k: fresh(docs, k) for k in keys}
+    tagged = docs.withColumns({own[k]: v for k, v in keys.items()})
+    cells = tagged.groupBy([F.col(own[k]).alias(k) for k in keys]).agg(
         F.sum(word_count(F.col(names.get("text_col", "text")))).alias("tokens")
     )
     rates = sampling_rates(cells, targets).select(
-        *[F.col(k).alias(f"__{k}") for k in keys], F.col("probability").alias("mix_probability")
+        *[F.col(k).alias(own[k]) for k in keys], F.col("probability").alias("mix_probability")
     )
     return (
-        tagged.join(F.broadcast(rates), [f"__{k}" for k in keys])
+        tagged.join(F.broadcast(rates), list(own.values()))
         .where(uniform(F.col(names.get("id_col", "doc_id")), targets.seed) < F.col("mix_probability"))
-        .drop(*[f"__{k}" for k in keys])
+        .drop(*own.values())
     )
-
-
-def uniform(key: Column, seed: str) -> Column:
-    """A number in [0, 1) from the MD5 of seed and key: 52 bits, the same on every engine."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))

@@ -8,8 +8,9 @@ and equal give the likelihood of each Jaccard similarity, and pairs whose most l
 similarity is far below the threshold go; the rest are confirmed on the full shingle sets.
 
 Documents with equal shingle sets are one class from the start.  Inside a bucket of a band
-only the links to its smallest and largest class are tried first; after their components are
-known, only pairs of classes of a bucket that are still in different components are tried.
+the members are tried with a few leaders first, the same ones in every band as far as bands
+share members; components follow, and where a bucket still spans several, further leaders.
+In the end every pair of classes of a bucket that is still in different components is tried.
 Pairs within one component can't change the result, so no link between components is lost,
 and groups of copies cost as much as they have members.
 """
@@ -25,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.common import without_ids
 from weftline.llm.components import connected_components
 from weftline.plans.runtime import bounded_broadcast, materialize, release_shuffles, small_batches
 
@@ -48,8 +50,8 @@ class SketchParams:
     rate: float = 20.0
     limit: int = 65534
     #: Pairs are confirmed on full sets if their most likely similarity is at least the
-    #: threshold less this; the estimate's standard error is below 0.035.
-    margin: float = 0.2
+    #: threshold less this, five standard errors of the estimate.
+    margin: float = 0.15
 
 
 def words(text: str | None) -> list[bytes]:
@@ -208,6 +210,10 @@ def _likely(pairs: DataFrame, sketch: DataFrame, p: SketchParams) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
+#: Shingles that a task keeps of the sets it has seen: 32 MB.
+SET_CACHE = 4_000_000
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, p: SketchParams) -> DataFrame:
     """Pairs (a, b) with ``100 * intersection >= threshold * union`` on their full sets."""
     side = lambda x: texts.select(F.col("class").alias(x), F.col("text").alias(f"t{x}"))
@@ -215,15 +221,25 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, p: SketchParams) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
-        last, kept = None, np.empty(0, np.uint64)
+        sets: dict[bytes, np.ndarray] = {}
+        held = 0
+
+        def of(cls: bytes, text: str) -> np.ndarray:
+            nonlocal held
+            if cls not in sets:
+                if held > SET_CACHE:
+                    sets.clear()
+                    held = 0
+                sets[cls] = shingle_set(words(text), p.shingle, seen)
+                held += len(sets[cls])
+            return sets[cls]
+
         for batch in batches:
             keep = []
-            for a, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "ta", "tb")), strict=True):
-                if a != last:
-                    last, kept = a, shingle_set(words(ta), p.shingle, seen)
-                other = shingle_set(words(tb), p.shingle, seen)
-                common = len(np.intersect1d(kept, other, assume_unique=True))
-                keep.append(100 * common >= p.threshold * (len(kept) + len(other) - common))
+            for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
+                x, y = of(a, ta), of(b, tb)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * common >= p.threshold * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "a binary, b binary")
@@ -250,8 +266,9 @@ def near_duplicates(
     members = held.select("class", F.explode("bands").alias("key"))
     mixed = (
         members.groupBy("key")
-        .agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        .agg(F.min("class").alias("low"), F.max("class").alias("high"), *_leaders(range(LEADERS)))
         .where("low <> high")
+        .select("key", F.array("low", "high", *[f"l{i}.class" for i in range(LEADERS)]).alias("leaders"))
     )
     buckets = materialize(members.join(mixed, "key").dropDuplicates(["key", "class"]), "buckets")
     release_shuffles(spark)
@@ -269,26 +286,52 @@ def near_duplicates(
         likely = materialize(_likely(pairs, near, p), f"likely-{name}")
         return materialize(_confirmed(likely, texts, p), f"links-{name}")
 
-    # Each bucket's members with its smallest and its largest class.
-    star = buckets.select(F.explode(F.array("low", "high")).alias("other"), "class").where("other <> class")
-    star = star.select(F.least("other", "class").alias("a"), F.greatest("other", "class").alias("b")).distinct()
-    found = links(star, "star")
+    def unlike(x: DataFrame) -> DataFrame:
+        """Distinct unordered pairs of two different classes, ``other`` and ``class``."""
+        x = x.where("other <> class")
+        return x.select(F.least("other", "class").alias("a"), F.greatest("other", "class").alias("b")).distinct()
+
+    # Each bucket's members with its leaders.
+    found = links(unlike(buckets.select(F.explode("leaders").alias("other"), "class")), "star")
     root = connected_components(found)
     release_shuffles(spark)
 
+    # Where a bucket spans several components, members with further leaders of other components.
+    placed = materialize(_open_buckets(buckets, root), "open")
+    more = placed.groupBy("key").agg(*_leaders(range(LEADERS, LEADERS + MORE_LEADERS), "root")).select(
+        "key", F.array(*[f"l{i}" for i in range(LEADERS, LEADERS + MORE_LEADERS)]).alias("leaders")
+    )
+    star = placed.join(more, "key").select("class", "root", F.explode("leaders").alias("l"))
+    star = star.where("root <> l.root").select(F.col("l.class").alias("other"), "class")
+    added = links(unlike(star), "star2")
+    found = found.unionByName(added)
+    root = root if added.isEmpty() else connected_components(found)
+    release_shuffles(spark)
+
     # Pairs of a bucket whose classes are in different components yet.
+    placed = materialize(_open_buckets(placed.select("key", "class"), root), "open")
+    left = placed.select("key", F.col("class").alias("other"), F.col("root").alias("ro"))
+    cross = unlike(left.join(placed, "key").where("other < class AND ro <> root"))
+    added = links(cross, "cross")
+    return _resolved(sketch, root if added.isEmpty() else connected_components(found.unionByName(added)))
+
+
+#: Leaders of a bucket besides its smallest and largest class, in the first and second round.
+LEADERS, MORE_LEADERS = 1, 5
+
+
+def _leaders(numbers: range, *more: str) -> list:
+    """For each number the class (and columns) whose salted hash is smallest, as struct ``l<number>``."""
+    return [F.min(F.struct(F.xxhash64(F.lit(i), "class").alias("h"), "class", *more)).alias(f"l{i}") for i in numbers]
+
+
+def _open_buckets(buckets: DataFrame, root: DataFrame) -> DataFrame:
+    """(key, class, root) of the buckets that span more than one component."""
     placed = buckets.join(root, buckets["class"] == root["node"], "left").select(
-        "key", "class", "low", "high", F.coalesce("root", "class").alias("root")
+        "key", "class", F.coalesce("root", "class").alias("root")
     )
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    placed = materialize(placed.join(open_keys, "key", "left_semi"), "open")
-    left = placed.where("class <> low AND class <> high").select("key", F.col("class").alias("a"), F.col("root").alias("ra"))
-    right = placed.where("class <> low AND class <> high").select("key", F.col("class").alias("b"), F.col("root").alias("rb"))
-    cross = left.join(right, "key").where("a < b AND ra <> rb").select("a", "b").distinct()
-    more = links(cross, "cross")
-    if not more.isEmpty():
-        root = connected_components(found.unionByName(more))
-    return _resolved(sketch, root)
+    keys = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+    return placed.join(keys, "key", "left_semi")
 
 
 def _texts_of(docs: DataFrame, near: DataFrame, p: SketchParams, id_col: str, text_col: str) -> DataFrame:
@@ -341,10 +384,7 @@ def drop_near_duplicates(
     Rows that repeat an id and its text are one document: one of them stays.
     """
     result = materialize(near_duplicates(docs, params, id_col, text_col), "near-duplicates")
-    lost = result.where(~F.col("kept")).select(F.col("doc_id").alias("__lost")).distinct()
-    out = docs.join(
-        bounded_broadcast(materialize(lost, "lost"), row_bytes=16), docs[id_col].eqNullSafe(F.col("__lost")), "left_anti"
-    )
+    out = without_ids(docs, id_col, result.where(~F.col("kept")).select("doc_id"))
     if not result.groupBy("doc_id").count().where("count > 1").isEmpty():
         out = out.dropDuplicates([id_col, text_col])
     return out

@@ -208,18 +208,18 @@ def training_sample(docs: DataFrame, labels: DataFrame, p: QualityParams, id_col
     Labels that are null, not 0 or 1, or contradict each other are left out; of documents
     that share an id one text is taken.
     """
+    label = F.col(label_col).cast("int")
     clean = (
-        labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (fold(F.col(id_col)) != 0))
-        .groupBy(F.col(id_col).alias("__id"))
-        .agg(F.min(label_col).alias("y"), F.max(label_col).alias("y1"))
+        labels.where(F.col(id_col).isNotNull() & label.isin(0, 1) & (fold(F.col(id_col)) != 0))
+        .groupBy(F.col(id_col).alias("id"))
+        .agg(F.min(label).alias("y"), F.max(label).alias("y1"))
         .where("y = y1")
     )
     # Bounded by the parameter, so it may be broadcast whatever the input.
-    chosen = clean.orderBy(F.xxhash64("__id"), "__id").limit(p.sample_rows).select("__id", F.col("y").cast("int"))
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == F.col("__id")).select(
-        "__id", F.coalesce(F.col(text_col), F.lit("")).alias("text"), "y"
-    )
-    return materialize(rows.dropDuplicates(["__id"]).select("text", "y").repartition(p.sample_tasks), "quality-sample")
+    chosen = clean.orderBy(F.xxhash64("id"), "id").limit(p.sample_rows).select("id", "y")
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min(F.struct("text", "y")).alias("r"))
+    return materialize(rows.select("r.text", "r.y").repartition(p.sample_tasks), "quality-sample")
 
 
 def fit_quality(

@@ -30,7 +30,7 @@ KINDS = ("assign", "access", "hex", "guess")
 CONTEXT = re.compile(
     r"(?:pass(?:word|phrase|wd|code)?|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key"
     r"|client[ _-]?secret|auth(?:orization)?|bearer|credentials?)[\"']?"
-    r"(?:\x20*(?:=>|:=|[:=])\x20*|\x20+is\x20+)(?:bearer\x20+)?([\"'`]?)(\S{6,})",
+    r"(?:\x20*(?:=>|:=|[:=])\x20*|(?P<prose>\x20+is\x20+))(?:bearer\x20+)?(?P<quote>[\"'`]?)(?P<value>\S{6,})",
     re.I | re.A,
 )
 
@@ -160,11 +160,13 @@ def find_secrets(text: str | None, min_guesses: float = MIN_GUESSES) -> list[tup
         values = {(m.start(2), m.end(2)) for m in ASSIGN.finditer(text)} if has_sep else set()
         bare = {(s, e) for _, s, e in out} | {x for x in values if x[1] - x[0] >= 6}
         for m in CONTEXT.finditer(text):
-            value = m[2]
-            if m[1] and m[1] in value:
-                value = value[: value.index(m[1])]
+            value, quote = m["value"], m["quote"]
+            if quote and quote in value:
+                value = value[: value.index(quote)]
             value = value.rstrip("\"'`,;.!?)]}>")
-            span = (m.start(2), m.start(2) + len(value))
+            if m["prose"] and not quote and value.isalpha():
+                continue  # "is" before a bare word is prose
+            span = (m.start("value"), m.start("value") + len(value))
             if len(value) >= 6 and span not in bare and guess_cost(value) >= min_guesses:
                 out.append(("guess", *span))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
