@@ -1,4 +1,4 @@
-"""Command line: ``python -m weftline`` (or spark-submit) run, align, profile."""
+"""Command line: ``python -m weftline`` (or spark-submit) run, align, transliterate, profile, purge."""
 
 from __future__ import annotations
 
@@ -15,13 +15,14 @@ from weftline.sources import readers, writers
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="weftline", description=__doc__)
-    parser.add_argument("command", choices=["run", "align", "profile"])
-    parser.add_argument("input", help="JSON lines (run, profile) or a folder of .txt files (align)")
+    parser.add_argument("command", choices=["run", "align", "transliterate", "profile", "purge"])
+    parser.add_argument("input", help="JSON lines (run, profile), a folder of .txt files (align, transliterate) or of outputs (purge)")
     parser.add_argument("output", nargs="?", help="folder to write")
     parser.add_argument("--corpus", help="align each input text with each text of this folder")
     parser.add_argument("--config", help="YAML configuration")
     parser.add_argument("--skip", action="append", default=[], choices=pipeline.STAGES, help="leave out this stage and those after it")
     parser.add_argument("--mode", default="seed", help="align: seed, or anything else for whole texts")
+    parser.add_argument("--delete", action="store_true", help="purge: delete what is listed")
     parser.add_argument("--format", help="output format: parquet, csv or json")
     o = parser.parse_args(args)
     config = from_yaml(o.config) if o.config else PipelineConfig()
@@ -29,8 +30,14 @@ def main(args: list[str] | None = None) -> None:
     if o.command == "profile":
         jsonl_profile(spark.read.text(o.input)).show(truncate=False)
         return
+    if o.command == "purge":
+        print(*writers.purge(spark, [o.input], dry_run=not o.delete), sep="\n")
+        return
     if not o.output:
         parser.error("an output folder is needed")
+    if o.command == "transliterate":
+        writers.write_transliterated(readers.read_texts(spark, o.input), o.output)
+        return
     if o.command == "align":
         texts = readers.read_texts(spark, o.input)
         corpus = readers.read_texts(spark, o.corpus, "corpus/", recursive=True) if o.corpus else None

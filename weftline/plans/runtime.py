@@ -8,7 +8,7 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Tables of at most so many bytes may be sent whole to every executor.
@@ -70,13 +70,15 @@ def _clean(spark: SparkSession) -> None:
             p.getFileSystem(conf).delete(p, True)
 
 
-def bounded_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows of ``row_bytes`` stay below ``limit``.
+def bounded_broadcast(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its size stays below ``limit`` bytes.
 
+    ``row_bytes`` is the size of a row: a number, or a column that is summed over the rows.
     Beyond the limit ``df`` comes back unhinted and the join shuffles.  ``df`` should be a
-    materialised or otherwise cheap table, as it is counted.
+    materialised or otherwise cheap table, as it is read for this.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    size = F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes))
+    return F.broadcast(df) if (df.agg(size.alias("size")).first()["size"] or 0) <= limit else df
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

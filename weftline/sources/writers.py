@@ -126,3 +126,10 @@ def purge(spark, paths: list[str], dry_run: bool = True) -> list[str]:
                 if not dry_run:
                     fs.delete(status.getPath(), True)
     return found
+
+
+def write_transliterated(texts: DataFrame, path: str) -> None:
+    """(name, text) transliterated to Wylie, a text folder per name."""
+    from weftline.functions.translit import ewts
+
+    texts.select("name", ewts(F.col("text")).alias("text")).write.mode("overwrite").partitionBy("name").text(path)
