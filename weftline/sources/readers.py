@@ -14,20 +14,23 @@ UNKNOWN = "Unknown_Source"
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_number, value) of a text file, numbered from 1 over all physical lines.
+    """(line_number, value) of text files, numbered from 1 over all physical lines of each file.
 
-    Numbers are contiguous without a global sort: each partition counts its lines, and a
-    line's number is the lines of earlier partitions plus its place in its own.
+    Numbers are contiguous without a global sort: a line's number is the lines of the file's
+    earlier splits plus its place in its own.  Only the table of splits, one row each, is
+    ordered in one task.
     """
-    lines = spark.read.text(path).withColumn("i", F.monotonically_increasing_id())
-    # The id's upper bits are the partition, its lower 33 bits the place in it.
-    lines = lines.withColumn("p", F.shiftright("i", 33)).withColumn("k", F.col("i").bitwiseAND(F.lit((1 << 33) - 1)))
-    lines = materialize(lines.select("p", "k", "value"), "lines")
-    counts = lines.groupBy("p").count()
-    before = counts.alias("x").join(counts.alias("y"), F.col("y.p") < F.col("x.p"), "left").groupBy("x.p").agg(
-        F.coalesce(F.sum("y.count"), F.lit(0)).alias("before")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("i"), "value",
+    )
+    lines = materialize(lines, "lines")
+    splits = lines.groupBy("file", "at").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("first"))
+    earlier = W.partitionBy("file").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
+    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return lines.join(splits, ["file", "at"]).select(
+        (F.col("before") + F.col("i") - F.col("first") + 1).alias("line_number"), "value"
     )
-    return lines.join(before, "p").select((F.col("before") + F.col("k") + 1).alias("line_number"), "value")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
