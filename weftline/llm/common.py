@@ -36,5 +36,5 @@ def without_ids(docs: DataFrame, id_col: str, lost: DataFrame) -> DataFrame:
     ``lost`` is sent to every executor if its counted rows are few, else both sides shuffle.
     """
     name = fresh(docs, "lost")
-    lost = bounded_broadcast(materialize(lost.toDF(name).distinct(), "lost"), row_bytes=16)
+    lost = bounded_broadcast(materialize(lost.toDF(name).distinct(), "lost"), 32)
     return docs.join(lost, docs[id_col].eqNullSafe(F.col(name)), "left_anti")

@@ -260,7 +260,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     are ignored.
     """
     winners = materialize(host_paths(pages, url_col, html_col), "host-paths")
-    winners = bounded_broadcast(winners, row_bytes=256)
+    winners = bounded_broadcast(winners, F.octet_length("host") + F.octet_length("path") + 64)
     source = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")
     ).join(winners, "host", "left").select("page_id", "url", "path", "html")

@@ -126,7 +126,7 @@ def drop_repeated_lines(
     edits = ranges.select(
         F.col("doc_id").alias(doc), F.col("tkey").alias(hashed), F.array_sort(F.array_distinct(deleted)).alias(gone)
     )
-    edits = bounded_broadcast(edits, row_bytes=256)
+    edits = bounded_broadcast(edits, F.size(gone) * 4 + 64)
     text = docs[text_col]
     out = docs.join(edits, docs[id_col].eqNullSafe(edits[doc]) & (F.xxhash64(text) == edits[hashed]), "left")
     # The lambda binds the split lines once; indexing them is then constant time.

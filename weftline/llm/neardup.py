@@ -340,7 +340,7 @@ def _texts_of(docs: DataFrame, near: DataFrame, p: SketchParams, id_col: str, te
     Ids may repeat with other text, so the class is computed again and must agree.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    wanted = bounded_broadcast(near, row_bytes=48)
+    wanted = bounded_broadcast(near, 64)
     both = source.join(wanted, source["doc_id"].eqNullSafe(wanted["doc_id"])).select("class", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

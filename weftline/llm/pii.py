@@ -213,7 +213,7 @@ def _date(value: str, key: bytes) -> str | None:
 
 #: Pattern and mapping by kind; a mapping answers None where the value doesn't validate.
 RULES: dict[str, tuple[re.Pattern, Callable[[str, bytes], str | None]]] = {
-    "email": (re.compile(r"[A-Za-z0-9._%+-]*[\w.%+-]*[A-Za-z0-9_%+-]@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"), _email),
+    "email": (re.compile(r"(?<![\w.%+-])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"), _email),
     "iban": (re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", re.A), _iban),
     "card": (re.compile(r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?![\d])", re.A), _card),
     "ssn": (re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", re.A), _ssn),
