@@ -10,9 +10,11 @@ similarity is far below the threshold go; the rest are confirmed on the full shi
 Documents with equal shingle sets are one class from the start.  Inside a bucket of a band
 the members are tried with a few leaders first, the same ones in every band as far as bands
 share members; components follow, and where a bucket still spans several, further leaders.
-In the end every pair of classes of a bucket that is still in different components is tried.
-Pairs within one component can't change the result, so no link between components is lost,
-and groups of copies cost as much as they have members.
+In the end every pair of classes of a bucket that is still in different components is tried:
+in buckets of few members by a join, in larger ones block against block inside a task, which
+answers only with the links that join components.  Pairs within one component can't change
+the result, so no link between components is lost, and groups of copies or of half-similar
+texts make rows in proportion to their members.
 """
 
 from __future__ import annotations
@@ -210,36 +212,43 @@ def _likely(pairs: DataFrame, sketch: DataFrame, p: SketchParams) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-#: Shingles that a task keeps of the sets it has seen: 32 MB.
-SET_CACHE = 4_000_000
+class _SetCache:
+    """Shingle sets of classes that a Python worker has seen lately, at most 32 MB of them."""
+
+    def __init__(self, most: int = 4_000_000) -> None:
+        self.most, self.held = most, 0
+        self.sets: dict[tuple[int, bytes], np.ndarray] = {}
+        self.seen: dict[bytes, int] = {}
+
+    def of(self, cls: bytes, text: str, p: SketchParams) -> np.ndarray:
+        at = (p.shingle, cls)
+        if at not in self.sets:
+            if self.held > self.most:
+                self.sets.clear()
+                self.held = 0
+            self.sets[at] = shingle_set(words(text), p.shingle, self.seen)
+            self.held += len(self.sets[at])
+        return self.sets[at]
+
+
+_SETS = _SetCache()
+
+
+def _linked(x: np.ndarray, y: np.ndarray, p: SketchParams) -> bool:
+    """``100 * intersection >= threshold * union``, on full sets."""
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= p.threshold * (len(x) + len(y) - common)
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, p: SketchParams) -> DataFrame:
-    """Pairs (a, b) with ``100 * intersection >= threshold * union`` on their full sets."""
+    """Pairs (a, b) that link on their full sets."""
     side = lambda x: texts.select(F.col("class").alias(x), F.col("text").alias(f"t{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        sets: dict[bytes, np.ndarray] = {}
-        held = 0
-
-        def of(cls: bytes, text: str) -> np.ndarray:
-            nonlocal held
-            if cls not in sets:
-                if held > SET_CACHE:
-                    sets.clear()
-                    held = 0
-                sets[cls] = shingle_set(words(text), p.shingle, seen)
-                held += len(sets[cls])
-            return sets[cls]
-
         for batch in batches:
-            keep = []
-            for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
-                x, y = of(a, ta), of(b, tb)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= p.threshold * (len(x) + len(y) - common))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True)
+            keep = [_linked(_SETS.of(a, ta, p), _SETS.of(b, tb, p), p) for a, b, ta, tb in rows]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "a binary, b binary")
@@ -276,7 +285,7 @@ def near_duplicates(
     # One text and one row of registers for each class in such a bucket.
     wanted = buckets.select("class").distinct()
     near = held.join(wanted, "class", "left_semi").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("regs").alias("regs")
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("regs").alias("regs"), F.first("bands").alias("bands")
     )
     near = materialize(near, "candidates")
     texts = materialize(_texts_of(docs, near.select("class", "doc_id"), p, id_col, text_col), "texts")
@@ -309,13 +318,84 @@ def near_duplicates(
     release_shuffles(spark)
 
     # Pairs of a bucket whose classes are in different components yet.
-    placed = materialize(_open_buckets(placed.select("key", "class"), root), "open")
-    left = placed.select("key", F.col("class").alias("other"), F.col("root").alias("ro"))
-    cross = unlike(left.join(placed, "key").where("other < class AND ro <> root"))
-    added = links(cross, "cross")
+    placed = _open_buckets(placed.select("key", "class"), root)
+    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    placed = materialize(placed.join(sizes, "key"), "open")
+    few = placed.where(F.col("members") <= PAIRED)
+    left = few.select("key", F.col("class").alias("other"), F.col("root").alias("ro"))
+    cross = unlike(left.join(few, "key").where("other < class AND ro <> root"))
+    added = links(cross, "cross").unionByName(_block_links(placed.where(F.col("members") > PAIRED), near, texts, p))
+    added = materialize(added, "links-last")
     return _resolved(sketch, root if added.isEmpty() else connected_components(found.unionByName(added)))
 
 
+#: Buckets of more members than PAIRED are compared in blocks of about BLOCK members.
+PAIRED, BLOCK = 6, 192
+
+
+def _block_links(placed: DataFrame, near: DataFrame, texts: DataFrame, p: SketchParams) -> DataFrame:
+    """Links (a, b) that join components inside large buckets: all pairs, exactly.
+
+    A bucket's members are dealt into blocks of about ``BLOCK`` and every two blocks meet in one
+    group, so a task holds two blocks whatever the bucket's size, and a member is sent once for
+    every block of its bucket.  A pair is tried in the first band that its classes share.
+    """
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("class"), blocks).cast("int")
+    dealt = placed.select("key", "class", "root", blocks.alias("blocks"), own.alias("own"))
+    dealt = dealt.select(
+        "key", "class", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select("key", "class", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rows = dealt.join(near.select("class", "n", "regs", "bands"), "class").join(texts, "class")
+    least = p.threshold / 100 - p.margin
+
+    def run(group: pa.Table) -> pa.Table:
+        cls, roots, key = group.column("class").to_pylist(), group.column("root").to_pylist(), group.column("key")[0].as_py()
+        own, n = group.column("own").to_numpy(), group.column("n").to_numpy().astype(float)
+        regs = np.frombuffer(b"".join(group.column("regs").to_pylist()), np.uint16).reshape(len(cls), -1)
+        bands = np.array(group.column("bands").to_pylist())
+        texts = group.column("text").to_pylist()
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        x, y = (np.flatnonzero(own == b) for b in (i, j))
+        first = bands[:, : int(np.flatnonzero(bands[0] == key)[0])]
+        joined = _Joined(roots)
+        out: list[tuple[bytes, bytes]] = []
+        for at in x:
+            with_ = y[y > at] if i == j else y
+            apart = np.array([not joined.same(roots[at], roots[k]) for k in with_], bool)
+            with_ = with_[apart & (100 * np.minimum(n[at], n[with_]) >= p.threshold * np.maximum(n[at], n[with_]))]
+            with_ = with_[~(first[with_] == first[at]).any(axis=1)]
+            if not len(with_):
+                continue
+            larger, smaller = (regs[at] > regs[with_]).sum(1), (regs[at] < regs[with_]).sum(1)
+            likely = estimate_jaccard(larger, smaller, regs.shape[1] - larger - smaller, np.full(len(with_), n[at]), n[with_], p) >= least
+            for k in with_[likely]:
+                if not joined.same(roots[at], roots[k]) and _linked(_SETS.of(cls[at], texts[at], p), _SETS.of(cls[k], texts[k], p), p):
+                    joined.join(roots[at], roots[k])
+                    out.append((min(cls[at], cls[k]), max(cls[at], cls[k])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
+
+    return rows.groupBy("key", "i", "j").applyInArrow(run, "a binary, b binary")
+
+
+class _Joined:
+    """Union-find over component roots."""
+
+    def __init__(self, roots: list[bytes]) -> None:
+        self.up = {r: r for r in roots}
+
+    def find(self, r: bytes) -> bytes:
+        while self.up[r] != r:
+            self.up[r] = r = self.up[self.up[r]]
+        return r
+
+    def same(self, a: bytes, b: bytes) -> bool:
+        return self.find(a) == self.find(b)
+
+    def join(self, a: bytes, b: bytes) -> None:
+        self.up[self.find(a)] = self.find(b)
+
+
 #: Leaders of a bucket besides its smallest and largest class, in the first and second round.
 LEADERS, MORE_LEADERS = 1, 5
 
