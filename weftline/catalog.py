@@ -262,8 +262,7 @@ def kmer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kmers = lambda t: align.kmer_positions(_dense(spark, sf_dir, t), SEEDING.k, SEEDING.max_kmer_hits)
-    return align.seed_pairs(kmers("benchmark"), kmers("documents"))
+    return align.seeds_between(_dense(spark, sf_dir, "benchmark"), _dense(spark, sf_dir, "documents"), SEEDING)
 
 
 def seed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
