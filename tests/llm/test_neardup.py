@@ -55,8 +55,14 @@ def test_cases(spark, k):
     assert ids.count(1) == 1 and ids.count(3) == 0 and ids.count(4) == 1
 
 
-def test_chains_and_groups(spark):
-    """Drifting edits, so that ends of a chain aren't similar, and a large group of near copies."""
+@pytest.mark.parametrize(("k", "paired", "block"), [(5, 6, 1024), (2, 1, 8)])
+def test_chains_and_groups(spark, monkeypatch, k, paired, block):
+    """Drifting edits, so that ends of a chain aren't similar, and a large group of near copies.
+
+    Buckets go through the join and through blocks.
+    """
+    monkeypatch.setattr(neardup, "PAIRED", paired)
+    monkeypatch.setattr(neardup, "BLOCK", block)
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
     data, base = [], [word() for _ in range(80)]
@@ -71,9 +77,8 @@ def test_chains_and_groups(spark):
         data.append((500 + i, " ".join(near)))
     data += [(900 + i, " ".join(word() for _ in range(60))) for i in range(30)]
     data = [(*r, "en", "s", 1, "", "", "", "") for r in data]
-    for k in (2, 5):
-        got = neardup.near_duplicates(frame(spark, data), SketchParams(shingle=k)).collect()
-        assert order((r.doc_id, r.n_shingles, r.component_id) for r in got) == order(brute(data, k))
+    got = neardup.near_duplicates(frame(spark, data), SketchParams(shingle=k)).collect()
+    assert order((r.doc_id, r.n_shingles, r.component_id) for r in got) == order(brute(data, k))
 
 
 def test_empty(spark):

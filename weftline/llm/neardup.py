@@ -34,6 +34,8 @@ from weftline.plans.runtime import bounded_broadcast, materialize, release_shuff
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U = np.uint64
+#: Word hashes that a Python worker keeps: about 30 MB.
+WORD_CACHE = 150_000
 
 
 @dataclass(frozen=True)
@@ -75,7 +77,7 @@ def shingle_set(ws: list[bytes], size: int, seen: dict[bytes, int]) -> np.ndarra
     """
     if not ws:
         return np.empty(0, np.uint64)
-    if len(seen) > 1_000_000:
+    if len(seen) > WORD_CACHE:
         seen.clear()
     ids = np.empty(len(ws), np.uint64)
     for i, w in enumerate(ws):
@@ -213,9 +215,9 @@ def _likely(pairs: DataFrame, sketch: DataFrame, p: SketchParams) -> DataFrame:
 
 
 class _SetCache:
-    """Shingle sets of classes that a Python worker has seen lately, at most 32 MB of them."""
+    """Shingle sets of classes that a Python worker has seen lately, at most 16 MB of them."""
 
-    def __init__(self, most: int = 4_000_000) -> None:
+    def __init__(self, most: int = 2_000_000) -> None:
         self.most, self.held = most, 0
         self.sets: dict[tuple[int, bytes], np.ndarray] = {}
         self.seen: dict[bytes, int] = {}
@@ -330,7 +332,7 @@ def near_duplicates(
 
 
 #: Buckets of more members than PAIRED are compared in blocks of about BLOCK members.
-PAIRED, BLOCK = 6, 192
+PAIRED, BLOCK = 6, 1024
 
 
 def _block_links(placed: DataFrame, near: DataFrame, texts: DataFrame, p: SketchParams) -> DataFrame:
@@ -358,44 +360,25 @@ def _block_links(placed: DataFrame, near: DataFrame, texts: DataFrame, p: Sketch
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         x, y = (np.flatnonzero(own == b) for b in (i, j))
         first = bands[:, : int(np.flatnonzero(bands[0] == key)[0])]
-        joined = _Joined(roots)
+        component = np.unique(np.array(roots, dtype=object), return_inverse=True)[1]
         out: list[tuple[bytes, bytes]] = []
         for at in x:
             with_ = y[y > at] if i == j else y
-            apart = np.array([not joined.same(roots[at], roots[k]) for k in with_], bool)
-            with_ = with_[apart & (100 * np.minimum(n[at], n[with_]) >= p.threshold * np.maximum(n[at], n[with_]))]
+            with_ = with_[(component[with_] != component[at]) & (100 * np.minimum(n[at], n[with_]) >= p.threshold * np.maximum(n[at], n[with_]))]
             with_ = with_[~(first[with_] == first[at]).any(axis=1)]
             if not len(with_):
                 continue
             larger, smaller = (regs[at] > regs[with_]).sum(1), (regs[at] < regs[with_]).sum(1)
             likely = estimate_jaccard(larger, smaller, regs.shape[1] - larger - smaller, np.full(len(with_), n[at]), n[with_], p) >= least
             for k in with_[likely]:
-                if not joined.same(roots[at], roots[k]) and _linked(_SETS.of(cls[at], texts[at], p), _SETS.of(cls[k], texts[k], p), p):
-                    joined.join(roots[at], roots[k])
+                if component[k] != component[at] and _linked(_SETS.of(cls[at], texts[at], p), _SETS.of(cls[k], texts[k], p), p):
+                    component[component == component[k]] = component[at]
                     out.append((min(cls[at], cls[k]), max(cls[at], cls[k])))
         return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
 
     return rows.groupBy("key", "i", "j").applyInArrow(run, "a binary, b binary")
 
 
-class _Joined:
-    """Union-find over component roots."""
-
-    def __init__(self, roots: list[bytes]) -> None:
-        self.up = {r: r for r in roots}
-
-    def find(self, r: bytes) -> bytes:
-        while self.up[r] != r:
-            self.up[r] = r = self.up[self.up[r]]
-        return r
-
-    def same(self, a: bytes, b: bytes) -> bool:
-        return self.find(a) == self.find(b)
-
-    def join(self, a: bytes, b: bytes) -> None:
-        self.up[self.find(a)] = self.find(b)
-
-
 #: Leaders of a bucket besides its smallest and largest class, in the first and second round.
 LEADERS, MORE_LEADERS = 1, 5
 

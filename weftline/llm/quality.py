@@ -59,7 +59,7 @@ class Units(dict):
     """Token -> (slot, shape, 40 bits of hash) packed in one integer; cleared when large."""
 
     def __missing__(self, token: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         raw = token.encode("utf-8", "surrogatepass")
         word = zlib.crc32(token.lower().encode("utf-8", "surrogatepass"))
