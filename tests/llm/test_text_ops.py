@@ -135,6 +135,17 @@ def test_every_wording_finds_its_license():
             assert name in [x[0] for x in licenses.find_licenses(f"Prose before it.\n{text}.\n\nProse after it.", t)], (name, text)
 
 
+@pytest.mark.parametrize("n", [20, 1_000, 3_000, 20_000])
+def test_notice_inside_a_long_line(n):
+    t = licenses.Templates()
+    rng = np.random.default_rng(n)
+    words = ["".join(map(chr, rng.integers(97, 123, k))) for k in rng.integers(2, 9, n // 2)]
+    found = licenses.find_licenses(" ".join([*words, "Released under the MIT License.", *words]), t)
+    assert [x[0] for x in found] == ["MIT"] and found[0][3] > 0 and found[0][4] == 0
+    text = " ".join([*words, licenses.WORDINGS["ISC"][0].replace("{", "").replace("}", ""), *words, "for the purpose or without", *words])
+    assert [x[0] for x in licenses.find_licenses(text, t)] == ["ISC"]
+
+
 # --- HTML --------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header>Site</header><nav><ul><li>menu</ul></nav>

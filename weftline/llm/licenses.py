@@ -1,10 +1,10 @@
 """License scans by conditional compression.
 
-Blocks of lines that speak of licensing are compressed with zstandard once without help and
-once with each license's wordings as a raw dictionary.  The licenses are ranked by how much
-smaller their dictionary makes the block; going down the ranking, a license is confirmed if
-the words by which the block differs from one of its wordings leave the words that identify
-the license untouched and are few.
+Paragraphs that speak of licensing are compressed with zstandard, piece by piece, once without
+help and once with each license's wordings as a raw dictionary.  The licenses are ranked by
+how much smaller their dictionary makes a piece; going down the ranking, a license is
+confirmed if the words by which the block differs from one of its wordings leave the words
+that identify the license untouched and are few.
 """
 
 from __future__ import annotations
@@ -93,18 +93,24 @@ WORDINGS: dict[str, tuple[str, ...]] = {
 #: A block is scanned if it says one of these.
 CANDIDATE = re.compile(
     r"licen[cs]|spdx|rights\s+reserved|permission\s+(?:is\s+hereby|to\s+use)|redistribut|unencumbered"
-    r"|public\s+domain|creative\s+commons|copyleft|\bGPL|\bCC[ -](?:BY|0)|\bCC0\b",
+    r"|public\s+domain|creative\s+commons|copyleft|\bGPL|\bCC[\s-](?:BY|0)|\bCC0\b",
     re.I,
 )
 _HINT = ("icen", "ICEN", "pdx", "PDX", "ights", "IGHTS", "ermission", "ERMISSION", "edistrib", "EDISTRIB", "ncumber", "NCUMBER",
-         "ublic", "UBLIC", "ommons", "OMMONS", "opyleft", "OPYLEFT", "GPL", "gpl", "CC", "cc ", "cc-", "cc0")
-WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
+         "ublic", "UBLIC", "ommons", "OMMONS", "opyleft", "OPYLEFT", "GPL", "gpl", "CC", "cc ", "cc-", "cc0",
+         "cc\n", "cc\r", "cc\t")
+#: A word; after a hyphen it may go on in the next line, behind indents and comment marks.
+WORD = re.compile(r"[A-Za-z0-9]+(?:(?:\.|-(?:\r?\n[ \t>*#/;%]*)?)[A-Za-z0-9]+)*")
+_BREAK = re.compile(r"\s[\s>*#/;%]*")
 #: Share of a wording's words that may differ.
 MOST_DIFFERENCES = 0.15
+#: Blocks are compressed in overlapping pieces of so many characters, three times the longest
+#: wording; larger inputs get other parameters with and without a dictionary.
+PIECE, STEP = 1024, 512
 
 
 def _words(text: str) -> list[str]:
-    return [w.lower() for w in WORD.findall(text)]
+    return [_BREAK.sub("", w).lower() for w in WORD.findall(text)]
 
 
 class Templates:
@@ -123,35 +129,79 @@ class Templates:
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
 
     def rank(self, block: str) -> list[tuple[int, str]]:
-        """(bytes saved, license), most saved first; ties by name."""
-        raw = block.encode("utf-8", "surrogatepass")
-        alone = len(self.plain.compress(raw))
-        return sorted(((alone - len(c.compress(raw)), n) for n, c in self.with_dict.items()), key=lambda x: (-x[0], x[1]))
+        """(bytes saved in the piece that saves most, license), most saved first; ties by name."""
+        saved: dict[str, int] = {}
+        for at in range(0, max(1, len(block) - (PIECE - STEP)), STEP):
+            raw = block[at : at + PIECE].encode("utf-8", "surrogatepass")
+            alone = len(self.plain.compress(raw))
+            for n, c in self.with_dict.items():
+                gain = alone - len(c.compress(raw))
+                if n not in saved or gain > saved[n]:
+                    saved[n] = gain
+        return sorted(((gain, n) for n, gain in saved.items()), key=lambda x: (-x[0], x[1]))
 
-    def confirm(self, name: str, block_words: list[str]) -> int | None:
+    def confirm(self, name: str, block_words: list[str], places: dict[str, list[int]] | None = None) -> int | None:
         """The fewest words by which the block differs from a wording of ``name``; None: too many.
 
-        Differences are counted between the first and last word that agree; a wording's words
-        outside that stretch count as missing.
+        Differences are counted in the stretch of words that agree which has the fewest; a
+        wording's words outside that stretch count as missing.  ``places`` are the positions
+        of each word of the block.
         """
-        held, best = set(block_words), None
+        places, best = word_places(block_words) if places is None else places, None
         for wording, marks in self.wordings[name]:
-            if not marks <= held:
+            if not all(m in places for m in marks):
                 continue
-            ops = [o for o in SequenceMatcher(None, wording, block_words, autojunk=False).get_opcodes()]
-            equal = [o for o in ops if o[0] == "equal"]
-            if not equal:
-                continue
-            kept = {w for o in equal for w in wording[o[1] : o[2]]}
-            lo, hi = equal[0][3], equal[-1][4]
-            missing = len(wording) - sum(o[2] - o[1] for o in equal)
-            extra = (hi - lo) - sum(o[4] - o[3] for o in equal)
-            differ = max(missing, extra)
-            if marks <= kept and differ <= MOST_DIFFERENCES * len(wording) and (best is None or differ < best):
-                best = differ
+            for lo, hi in _windows(wording, marks, len(block_words), places):
+                differ = _differ(wording, marks, block_words[lo:hi])
+                if differ is not None and differ <= MOST_DIFFERENCES * len(wording) and (best is None or differ < best):
+                    best = differ
+                if best == 0:
+                    return best
         return best
 
 
+def word_places(words: list[str]) -> dict[str, list[int]]:
+    out: dict[str, list[int]] = {}
+    for i, w in enumerate(words):
+        out.setdefault(w, []).append(i)
+    return out
+
+
+def _windows(wording: list[str], marks: set[str], n: int, places: dict[str, list[int]]) -> Iterator[tuple[int, int]]:
+    """Stretches of the block, of which each confirmable place of the wording lies in one.
+
+    Such a place holds all marks and at most as many other words as may differ, so it lies
+    around one of the places of the rarest mark.  Wordings without marks are tried everywhere.
+    """
+    size, slack = len(wording), int(MOST_DIFFERENCES * len(wording))
+    if not marks:
+        for at in range(0, n, max(1, size)):
+            yield max(0, at - slack), at + 2 * size + slack
+        return
+    rarest = min(marks, key=lambda m: (len(places[m]), m))
+    offsets = [i for i, w in enumerate(wording) if w == rarest]
+    if offsets:
+        for at in places[rarest]:
+            yield max(0, at - offsets[-1] - slack), at + size - offsets[0] + slack
+
+
+def _differ(wording: list[str], marks: set[str], words: list[str]) -> int | None:
+    """The fewest words that differ over the stretches that hold all marks."""
+    if not marks <= set(words):
+        return None
+    equal = [o for o in SequenceMatcher(None, wording, words, autojunk=False).get_matching_blocks() if o.size]
+    best = None
+    for i in range(len(equal)):
+        agree, kept = 0, set()
+        for last in equal[i:]:
+            agree += last.size
+            kept.update(wording[last.a : last.a + last.size])
+            if marks <= kept:
+                differ = max(len(wording) - agree, last.b + last.size - equal[i].b - agree)
+                best = differ if best is None or differ < best else best
+    return best
+
+
 def blocks(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of candidate blocks: runs of neighbouring lines of which each is a candidate,
     or that follow a candidate within the same paragraph."""
@@ -175,15 +225,14 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
 
 
 def find_licenses(text: str | None, templates: Templates) -> list[tuple[str, int, int, int, int]]:
-    """(license, start, end, bytes saved, words that differ) by block, in order."""
+    """(license, start, end, bytes saved, words that differ) by block, in order; a license once a block."""
     out = []
     for s, e in blocks(text) if text else ():
         block = text[s:e]
         ws = _words(block)
+        places = word_places(ws)
         for saved, name in templates.rank(block):
-            if saved <= 0:
-                break
-            differ = templates.confirm(name, ws)
+            differ = templates.confirm(name, ws, places)
             if differ is not None:
                 out.append((name, s, e, saved, differ))
     return out
