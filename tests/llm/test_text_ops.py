@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -146,6 +147,19 @@ def test_notice_inside_a_long_line(n):
     assert [x[0] for x in licenses.find_licenses(text, t)] == ["ISC"]
 
 
+@pytest.mark.parametrize("lead", ["", " * ", "# "])
+def test_wrapped_wordings(lead):
+    t = licenses.Templates()
+    for name, wordings in licenses.WORDINGS.items():
+        for w in wordings:
+            text = textwrap.fill(w.replace("{", "").replace("}", "") + ".", 72, initial_indent=lead, subsequent_indent=lead)
+            for before in ("Prose before it.\n\n", "Copyright 2020 Somebody, who wrote this\nand all the rest of it.\n", "x " * 5_000 + "\n"):
+                found = licenses.find_licenses(f"{before}{text}\n\nProse after it.", t)
+                assert name in [x[0] for x in found], (name, text)
+    assert [x[0] for x in licenses.find_licenses("(c) 2020 All rights\nreserved.", t)] == ["all-rights-reserved"]
+    assert licenses.find_licenses("All rights\n\nreserved.", t) == []
+
+
 # --- HTML --------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header>Site</header><nav><ul><li>menu</ul></nav>

@@ -203,25 +203,19 @@ def _differ(wording: list[str], marks: set[str], words: list[str]) -> int | None
 
 
 def blocks(text: str) -> Iterator[tuple[int, int]]:
-    """(start, end) of candidate blocks: runs of neighbouring lines of which each is a candidate,
-    or that follow a candidate within the same paragraph."""
+    """(start, end) of candidate blocks: paragraphs, runs of lines up to blank ones, that speak of licensing."""
     if not any(h in text for h in _HINT):
         return
     at, start, end = 0, None, 0
-    for line in text.split("\n"):
-        stop = at + len(line)
-        if CANDIDATE.search(line):
+    for line in [*text.split("\n"), ""]:
+        if line and not line.isspace():
             start = at if start is None else start
-            end = stop
-        elif start is not None and (not line.strip() or len(line) > 200):
-            yield start, end
+            end = at + len(line)
+        elif start is not None:
+            if CANDIDATE.search(text, start, end):
+                yield start, end
             start = None
-        elif start is not None and stop - start > 2000:
-            yield start, end
-            start = None
-        at = stop + 1
-    if start is not None:
-        yield start, end
+        at += len(line) + 1
 
 
 def find_licenses(text: str | None, templates: Templates) -> list[tuple[str, int, int, int, int]]:
