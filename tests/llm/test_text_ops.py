@@ -232,6 +232,19 @@ def test_guess_spans():
     assert secrets.redact_secrets("pwd: x9$Kq!7vLw2#!") == "pwd: [secret]!"
 
 
+def test_several_credentials_without_white_space():
+    find = lambda t: [t[s:e] for k, s, e in secrets.find_secrets(t) if k == "guess"]
+    a, b, c = "Tr0ub4dor&3xQ", "k9#Lm2$Qz!v7", "x9$Kq!7vLw2#"
+    assert find(f'{{"pwd":"{a}","private_key":"{b}","n":1,"passphrase":"{c}"}}') == [a, b, c]
+    assert find(f"{{'access_key':'{a}','x':{{'password':'{b}'}},'credentials':{{'token':'{c}'}}}}") == [a, b, c]
+    assert find(f"u=me&pwd={a}&private_key={b}&passphrase={c}") == [a, b, c]
+    assert find(f"https://h.example/?pwd={a}&amp;access_key={b}&amp;n=1") == [a, b]
+    assert find(f"pwd={a};private_key={b};n=1") == find(f"pwd:{a},private_key:{b},n:1") == [a, b]
+    assert find(f'{{"pwd":"abc","secret":"{b}","bearer":"x9$Kq\\"7vLw2#"}}') == [b, 'x9$Kq\\"7vLw2#']
+    assert find(f'{{"pwd":"password1","private_key":"{b}"}}') == [b]
+    assert find("&".join([f"pwd={b}"] * 2_000)) == [b] * 2_000
+
+
 def test_secret_cases(spark):
     data = [*rows(), (60, "api-key: Zk8#pQ2!mT5x secret=abcdef", None, "s", 1, "", "", "", "")]
     got = secrets.scan_secrets(frame(spark, data)).collect()

@@ -26,13 +26,20 @@ HEX = re.compile(r"[0-9a-f]+")
 #: Kinds in the order in which spans with equal starts are listed.
 KINDS = ("assign", "access", "hex", "guess")
 
-#: Where a credential stands: a name, a separator, perhaps a quote, then the value.
+#: Where a credential stands: a name, a separator, perhaps a quote, then the value, of which
+#: only the start is matched.
 CONTEXT = re.compile(
     r"(?:pass(?:word|phrase|wd|code)?|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key"
     r"|client[ _-]?secret|auth(?:orization)?|bearer|credentials?)[\"']?"
-    r"(?:\x20*(?:=>|:=|[:=])\x20*|(?P<prose>\x20+is\x20+))(?:bearer\x20+)?(?P<quote>[\"'`]?)(?P<value>\S{6,})",
+    r"(?:\x20*(?:=>|:=|[:=])\x20*|(?P<prose>\x20+is\x20+))(?:bearer\x20+)?(?P<quote>[\"'`]?)(?P<value>(?=\S{6}))",
     re.I | re.A,
 )
+_NAME = r"[\"'`]?[A-Za-z_$][\w.$-]*[\"'`]?(?:=>|:|=(?=[^\s=]))"
+#: Values end at white space; quoted ones at their quote, unquoted ones before the next name.
+_NEXT = re.compile(rf"(?:&amp;|[&;,])[{{\[]*{_NAME}|\s|\Z", re.A)
+_QUOTED = {q: re.compile(rf"(?:\\\S|[^\s{q}\\])*\\?") for q in "\"'`"}
+#: A list or object whose members have names of their own.
+_NESTED = re.compile(rf"[{{\[]+{_NAME}", re.A)
 
 #: log10 of the guesses from which a value counts as a secret.
 MIN_GUESSES = 9.0
@@ -159,16 +166,19 @@ def find_secrets(text: str | None, min_guesses: float = MIN_GUESSES) -> list[tup
     if has_sep or " is " in text or " IS " in text or " Is " in text:
         values = {(m.start(2), m.end(2)) for m in ASSIGN.finditer(text)} if has_sep else set()
         bare = {(s, e) for _, s, e in out} | {x for x in values if x[1] - x[0] >= 6}
-        for m in CONTEXT.finditer(text):
-            value, quote = m["value"], m["quote"]
-            if quote and quote in value:
-                value = value[: value.index(quote)]
-            value = value.rstrip("\"'`,;.!?)]}>")
+        at = 0
+        while m := CONTEXT.search(text, at):
+            quote, start = m["quote"], m.start("value")
+            at = start
+            if not quote and _NESTED.match(text, start):
+                continue
+            stop = _QUOTED[quote].match(text, start).end() if quote else _NEXT.search(text, start).start()
+            value = text[start:stop].rstrip("\"'`,;.!?)]}>")
+            at = start + len(value)
             if m["prose"] and not quote and value.isalpha():
                 continue  # "is" before a bare word is prose
-            span = (m.start("value"), m.start("value") + len(value))
-            if len(value) >= 6 and span not in bare and guess_cost(value) >= min_guesses:
-                out.append(("guess", *span))
+            if len(value) >= 6 and (start, at) not in bare and guess_cost(value) >= min_guesses:
+                out.append(("guess", start, at))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
