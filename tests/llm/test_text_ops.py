@@ -52,6 +52,28 @@ def test_formats_stay_valid():
     assert [k for k, *_ in found2] == [k for k, *_ in found]  # pseudonyms validate like originals
 
 
+def test_overshooting_and_national_forms():
+    ibans = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "PL61 1090 1014 0000 0712 1981 2874", "FR14 2004 1010 0505 0001 3M02 606"]
+    for v in [*ibans, *(x.replace(" ", "") for x in ibans)]:
+        for text in (f"{v} BIC CAIXESBB", f"{v} IBAN", f"AB13 {v}, 12"):
+            new, found = pii.pseudonymise(text, KEY)
+            assert [(k, text[s:e]) for k, s, e, _ in found] == [("iban", v)], text
+            assert [x[0] for x in pii.find_pii(new, KEY)] == ["iban"]
+    for v in (
+        "01 23 45 67 89", "01.23.45.67.89", "+33 1 23 45 67 89", "+33 (0)1 23 45 67 89", "+49 30 1234567", "030 1234567", "(030) 1234567", "089/1234567",
+        "+34 912 34 56 78", "912 34 56 78", "91 234 56 78", "912 345 678", "+49 171 123 45 67", "+1 (017) 555-7713",
+    ):
+        for text in (f"tel {v}.", f"{v}, or", f"call {v} now"):
+            new, found = pii.pseudonymise(text, KEY)
+            assert [(k, text[s:e]) for k, s, e, _ in found] == [("phone", v)], text
+            assert [x[:3] for x in pii.find_pii(new, KEY)] == [x[:3] for x in found], new
+    assert [x[:3] for x in pii.find_pii("+33 1 23 45 67 89 12 apples", KEY)] == [("phone", 0, 17)]
+    assert pii.find_pii("10 20 30 40 50 and 000-12-3456, 1 234 567", KEY) == []
+    assert [x[0] for x in pii.find_pii("01-02-2023 05.06.2020 01/02/2023", KEY)] == ["date"] * 3
+    images = {pii.pseudonymise(f"01 23 45 67 {i:02d}", KEY)[0] for i in range(100)}
+    assert len(images) == 100
+
+
 def test_pii_cases(spark):
     data = [*rows(), (50, "ip 10.0.0.1 and 10.0.0.1", None, "s", 1, "", "", "", ""), (51, "10.0.0.1", None, "s", 1, "", "", "", "")]
     got = pii.pseudonymise_documents(frame(spark, data), "k").collect()

@@ -168,7 +168,27 @@ def _phone(value: str, key: bytes) -> str | None:
         return None
     lead = re.match(r"\+?\d{1,3}(?=[ .(-])", value) if value[0] == "+" else None
     country = _compact(lead[0]) if lead else ""
-    return _refill(value, country + permute_digits(digits[len(country) :], key, b"phone" + country.encode()))
+    fixed = country + ("0" if country and re.match(r"\+\d+[ .-]?\(0\)", value) else "")
+    body = digits[len(fixed) :]
+    most = NATIONAL.get(country, 15)
+    if len(body.lstrip("0")) > most:
+        return None
+    new = permute_digits(body, key, b"phone" + country.encode())
+    # Walking on within numbers of the same kind keeps it a permutation.
+    while len(new.lstrip("0")) > most or not country and _trunk(new) != _trunk(body):
+        new = permute_digits(new, key, b"phone" + country.encode())
+    return _refill(value, fixed + new)
+
+
+#: Most digits of a national number, by country code.
+NATIONAL = {"1": 10, "33": 9, "34": 9}
+
+
+def _trunk(digits: str) -> str:
+    """What the first digits of a national number say: a long-distance call, a Spanish number, or nothing."""
+    if re.match("0[1-9]", digits):
+        return "0"
+    return "6-9" if len(digits) == 9 and digits[0] in "6789" else ""
 
 
 def _iban(value: str, key: bytes) -> str | None:
@@ -211,6 +231,31 @@ def _date(value: str, key: bytes) -> str | None:
     return f"{first:02d}{sep}{second:02d}{sep}{new.year:04d}"
 
 
+#: Characters of an IBAN by country (fixed values).
+IBAN_LENGTH = {
+    c: int(n)
+    for c, n in (
+        x.split(":")
+        for x in (
+            "AD:24 AT:20 BE:16 BG:22 CH:21 CY:28 CZ:24 DE:22 DK:18 EE:20 ES:24 FI:18 FR:27 GB:22 GR:27 HR:21 HU:28 IE:22 "
+            "IS:26 IT:27 LI:21 LT:20 LU:20 LV:21 MC:27 MT:31 NL:18 NO:15 PL:28 PT:25 RO:24 SE:24 SI:19 SK:24 SM:27 TR:26"
+        ).split()
+    )
+}
+_GAP = re.compile(r"[ ./-]+")
+
+
+def _ends(kind: str, m: re.Match) -> list[int]:
+    """Where the value may end: for an IBAN after its country's length, then from the longest to shorter groups."""
+    ends = [m.end()]
+    if kind in ("iban", "phone"):
+        ends += [g.start() for g in reversed([*_GAP.finditer(m.string, m.start(), m.end())])]
+    if kind == "iban":
+        size = IBAN_LENGTH.get(m[0][:2])
+        ends.sort(key=lambda e: len(_compact(m.string[m.start() : e])) != size)
+    return ends
+
+
 #: Pattern and mapping by kind; a mapping answers None where the value doesn't validate.
 RULES: dict[str, tuple[re.Pattern, Callable[[str, bytes], str | None]]] = {
     "email": (re.compile(r"(?<![\w.%+-])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"), _email),
@@ -218,7 +263,18 @@ RULES: dict[str, tuple[re.Pattern, Callable[[str, bytes], str | None]]] = {
     "card": (re.compile(r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?![\d])", re.A), _card),
     "ssn": (re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", re.A), _ssn),
     "ipv4": (re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", re.A), _ipv4),
-    "phone": (re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w])|(?<![\w+])\+\d{8,15}(?!\w)", re.A), _phone),
+    "phone": (
+        re.compile(
+            r"(?<![\w+])(?:"
+            r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\w|[ .-]\d{2}[ .-]\d{2}(?!\w))"
+            r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,5}(?:[ ./-]\d{2,8}){1,5}(?!\w)"
+            r"|(?!\d{3}-\d{2}-\d{4}(?!\w))(?:0[1-9](?:[ .-]\d{2}){4}|\(0[1-9]\d{0,3}\)[ .-]?\d{5,8}|0[1-9]\d{0,3}[ /-]\d{5,8}"
+            r"|[6-9]\d{2}(?:[ .-]\d{2}){3}|[6-9]\d[ .-]\d{3}(?:[ .-]\d{2}){2})(?!\w|[.-]\d)"
+            r"|\+\d{8,15}(?!\w))",
+            re.A,
+        ),
+        _phone,
+    ),
     "date": (re.compile(r"(?<![\d./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\d]|[./-]\d)", re.A), _date),
 }
 _DIGIT = re.compile(r"\d", re.A)
@@ -237,12 +293,17 @@ def find_pii(text: str | None, key: bytes) -> list[tuple[str, int, int, str]]:
         if not digits if kind != "email" else "@" not in text:
             continue
         pattern, convert = RULES[kind]
-        for m in pattern.finditer(text):
-            if any(m.start() < e and s < m.end() for _, s, e, _ in taken):
-                continue
-            new = convert(m[0], key)
-            if new is not None:
-                taken.append((kind, m.start(), m.end(), new))
+        at = 0
+        while m := pattern.search(text, at):
+            start, at = m.start(), m.start() + 1
+            for end in _ends(kind, m):
+                if any(start < e and s < end for _, s, e, _ in taken) or end < m.end() and not pattern.fullmatch(text, start, end):
+                    continue
+                new = convert(text[start:end], key)
+                if new is not None:
+                    taken.append((kind, start, end, new))
+                    at = end
+                    break
     return sorted(taken, key=lambda x: x[1])
 
 
