@@ -198,6 +198,26 @@ def test_html_extraction():
     assert html_text.extract(PAGE[: PAGE.index("Last")], "/body/article").endswith("Three four five")
 
 
+def test_html_layouts():
+    long = "Some running text of the story. " * 12
+    want = "\n".join(["Title", "Intro here.", long.strip(), "Tail here."])
+    inner = f"<h1>Title</h1><p>Intro here.</p>{{}}<p>{long}</p>{{}}<p>Tail here.</p>"
+    nav = "<nav><a href=x>menu</a></nav><div class=footer>foot</div>"
+    links = "<div class=list>" + "<a href=x>another story of the site</a> " * 9 + "</div>"
+    for page in (
+        *(f'<body><div class="{c}"><article>{inner.format("", "")}</article></div>{nav}</body>' for c in ("layout with-sidebar", "has-comments", "page-header")),
+        f'<body><div class="with-sidebar"><div>{inner.format("", "")}</div></div>{nav}</body>',
+        f'<body><div class="with-sidebar"><article>{inner.format("", "")}</article><div class="comments"><article>first!</article></div></div>{nav}</body>',
+        f'<body>{nav}<div class="content">{inner.format("<section>", "</section>")}</div>{links}</body>',
+        f'<body>{nav}<div class="w-1/2">{inner.format("<section class=a>", "</section><section class=b>").replace("Tail here.</p>", "Tail here.</p></section>")}</div></body>',
+        f'<body>{nav}<article>{inner.format("<div><div>", "</div></div>")}</article></body>',
+        f'<body>{nav}{inner.format("<section>", "</section>")}</body>',
+        f'<body>{nav}<article>{inner.format("", "")}</article><div class="cookie-consent">{long * 3}</div></body>',
+    ):
+        for path in (None, html_text.best_path(html_text.score_paths(page))):
+            assert html_text.extract(page, path) == want, page
+
+
 def test_host_consensus(spark):
     wrap = lambda c, n: f'<body><div class="{c}"><p>{"long text " * n}</p></div><div class="blurb"><p>{"x " * 30}</p></div></body>'
     pages = [(i, f"http://H.example/{i}", wrap(f"post-{i}", 20)) for i in range(5)]

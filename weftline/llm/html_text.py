@@ -3,7 +3,8 @@
 Every page scores its containers by the running text below them.  A container's path is the
 chain of its ancestors' tags and classes with digits generalised; per host, Spark counts the
 pages that vote for each path.  A second pass extracts each page at its host's winning path,
-and at the page's own best container where the page doesn't have that path.
+and at the page's own best container where the page doesn't have that path; from there it
+climbs to the containers around that add main text only.
 """
 
 from __future__ import annotations
@@ -57,10 +58,10 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "chrome", "parent", "order")
+    __slots__ = ("tag", "path", "chrome", "parent", "order", "hinted")
 
-    def __init__(self, tag: str, path: str, chrome: bool, parent: Node | None, order: int) -> None:
-        self.tag, self.path, self.chrome, self.parent, self.order = tag, path, chrome, parent, order
+    def __init__(self, tag: str, path: str, chrome: bool, parent: Node | None, order: int, hinted: bool = False) -> None:
+        self.tag, self.path, self.chrome, self.parent, self.order, self.hinted = tag, path, chrome, parent, order, hinted
 
 
 def _label(tag: str, attributes: str) -> tuple[str, bool]:
@@ -161,7 +162,7 @@ def blocks(page: str) -> list[tuple[Node, str, int]]:
             orders += 1
             top = stack[-1]
             if not m[3].rstrip().endswith("/") or tag in BLOCK:
-                stack.append(Node(tag, f"{top.path}/{label}" if tag in CONTAINER else top.path, top.chrome or ruled_out or tag in CHROME, top, orders))
+                stack.append(Node(tag, f"{top.path}/{label}" if tag in CONTAINER else top.path, top.chrome or tag in CHROME, top, orders, ruled_out))
         elif tag == "a":
             in_link += 1
         else:
@@ -171,7 +172,34 @@ def blocks(page: str) -> list[tuple[Node, str, int]]:
             elif tag == "span":
                 stack.append(Node(tag, stack[-1].path, False, stack[-1].parent, stack[-1].order))
     flush()
-    return out
+    return _without_hinted(out)
+
+
+def _ancestors(node: Node | None) -> Iterator[Node]:
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _without_hinted(found: list[tuple[Node, str, int]]) -> list[tuple[Node, str, int]]:
+    """The blocks outside elements that a hint rules out.
+
+    A hint doesn't count at an element around the page's largest article or main, if that has
+    a quarter of the text; without such, at one that holds most of the text.
+    """
+    if not any(x.hinted for n, _, _ in found for x in _ancestors(n)):
+        return found
+    held: dict[Node, int] = defaultdict(int)
+    for n, text, linked in found:
+        for x in _ancestors(n):
+            held[x] += max(0, len(text) - linked)
+    total = sum(max(0, len(text) - linked) for _, text, linked in found)
+    told = [x for x in held if x.tag in BONUS and held[x] and 4 * held[x] >= total]
+    if told:
+        wraps = set(_ancestors(max(told, key=lambda x: (held[x], -x.order))))
+    else:
+        wraps = {x for x in held if 2 * held[x] > total}
+    return [b for b in found if not any(x.hinted and x not in wraps for x in _ancestors(b[0]))]
 
 
 #: What a container gets of the text one container further down.
@@ -202,15 +230,51 @@ def best_path(scores: dict[str, float]) -> str | None:
     return min(scores, key=lambda k: (-scores[k], k)) if scores else None
 
 
+def climb(found: list[tuple[Node, str, int]], path: str) -> str:
+    """The outermost container around ``path`` that adds only main text.
+
+    That is the nearest article or main around it, else containers further out as long as
+    what they add isn't mostly links; the body only if it adds its own text and sections.
+    """
+    node = next((n for n, _, _ in found if inside_path(n.path, path)), None)
+    outer = [x for x in _ancestors(node) if x.tag in CONTAINER and inside_path(path, x.path)]
+    told = next((x for x in outer if x.tag in BONUS), None)
+    if told:
+        return told.path
+    for x in outer:
+        added = [b for b in found if inside_path(b[0].path, x.path) and not inside_path(b[0].path, path)]
+        if x.tag == "body" and any(_below(n, x) not in (None, "section") for n, _, _ in added):
+            break
+        if 2 * sum(linked for _, _, linked in added) > sum(len(t) for _, t, _ in added):
+            break
+        path = x.path
+    return path
+
+
+def inside_path(path: str, outer: str) -> bool:
+    return path == outer or path.startswith(outer + "/")
+
+
+def _below(node: Node, outer: Node) -> str | None:
+    """Tag of the container right below ``outer`` around ``node``; None where there is none."""
+    tag = None
+    for x in _ancestors(node):
+        if x is outer:
+            break
+        tag = x.tag if x.tag in CONTAINER else tag
+    return tag
+
+
 def extract(page: str | None, path: str | None) -> str:
-    """The page's text at ``path``; at its own best container if it has nothing there.
+    """The page's text around ``path``; around its own best container if it has nothing there.
 
     A block's white space becomes single spaces, blocks are joined by one line break.
     """
     found = blocks(page) if page else []
 
     def at(where: str) -> list[str]:
-        return [t for n, t, _ in found if n.path == where or n.path.startswith(where + "/")]
+        where = climb(found, where)
+        return [t for n, t, _ in found if inside_path(n.path, where)]
 
     texts = at(path) if path else []
     if not texts:
