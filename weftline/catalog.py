@@ -238,7 +238,8 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Alignment ---------------------------------------------------------------------------
 
-SEEDING = align.Seeding(k=15, max_gap=10, extend=30, max_kmer_hits=3)
+#: As in the reference's shipped configuration.
+SEEDING = align.Seeding(k=15, max_gap=10, extend=300, max_kmer_hits=3)
 SCORING = align.Scoring(min_score=15.0)
 
 
