@@ -224,9 +224,9 @@ def lexical_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items through all stages: segments, vectors, matches, labels."""
-    docs = read_table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("line_number"), "text", F.concat(F.lit("item"), F.col("item_id")).alias("file_id")
+    """Documents through all stages: segments, vectors, matches, labels."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("line_number"), "text", F.concat(F.lit("doc"), F.col("doc_id")).alias("file_id")
     )
     config = PipelineConfig(
         segment=SegmentConfig(profile="latin", clean_foreign=False, remove_spaces=False, min_syllables=2, max_syllables=40),
@@ -292,9 +292,10 @@ def local_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alignments of all pairs of benchmark items without seeds."""
+    """Alignments of benchmark items with documents without seeds."""
     items = materialize(_dense(spark, sf_dir, "benchmark"), "dense")
-    return align.waterfall(items, None, align.Scoring(match=1.0, mismatch=-0.9, open=-0.6, extend=-3.5, min_score=12.0))
+    docs = materialize(_dense(spark, sf_dir, "documents"), "dense")
+    return align.waterfall(items, docs, align.Scoring(match=1.0, mismatch=-0.9, open=-0.6, extend=-3.5, min_score=12.0))
 
 
 def review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
