@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import gc
 import tempfile
 import uuid
 
@@ -28,46 +27,93 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     ``spark.checkpoint.dir`` names it.  Where that is unset, a local master (tests) uses a
-    temporary folder of its own and a cluster uses the warehouse, which is shared as well.
+    temporary folder of its own and a cluster uses the warehouse if that lies in a store; a
+    cluster whose warehouse is a local folder raises, as no executor would see another's files.
     """
     base = setting(spark, "spark.checkpoint.dir")
     if base:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
-        return setting(spark, "spark.sql.warehouse.dir").rstrip("/")
+        warehouse = setting(spark, "spark.sql.warehouse.dir") or ""
+        if ":/" not in warehouse or warehouse.startswith("file:"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        return warehouse.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _local:
         _local[app] = tempfile.mkdtemp(prefix="weftline-")
     return _local[app]
 
 
+#: While this holds, Spark deletes the shuffle files of a write once the write has ended.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+    """Write ``df`` to the shared folder and read it back; the files go when the session ends.
 
     This cuts the lineage: what follows reads files that outlive any executor, and a lost
     executor costs a re-read rather than a recomputation.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/weftline/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    _at_exit(spark, path)
+    return _write(df, path)
+
+
+class Scratch:
+    """Materialised tables of one job; those that aren't kept go when the job's block ends.
+
+    A result that is still to be read may refer only to tables written with ``keep``, which
+    stay until the session ends.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.base = f"{shared_folder(spark)}/weftline/job-{uuid.uuid4().hex}"
+        self.count = 0
+
+    def __enter__(self) -> Scratch:
+        _at_exit(self.spark, self.base)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _delete(self.spark, self.base)
+        _written[self.spark.sparkContext.applicationId].remove(self.base)
+
+    def write(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+        if keep:
+            return materialize(df, name)
+        self.count += 1
+        return _write(df, f"{self.base}/{self.count:03d}-{name}")
+
+
+def _at_exit(spark: SparkSession, path: str) -> None:
     if not _written:
         atexit.register(_clean, spark)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop, as the shared one may lie in any store."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _clean(spark: SparkSession) -> None:
     with contextlib.suppress(Exception):  # at exit the JVM may be gone already
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for path in _written.pop(spark.sparkContext.applicationId, []):
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+            _delete(spark, path)
 
 
 def bounded_broadcast(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
