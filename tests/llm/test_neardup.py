@@ -55,14 +55,15 @@ def test_cases(spark, k):
     assert ids.count(1) == 1 and ids.count(3) == 0 and ids.count(4) == 1
 
 
-@pytest.mark.parametrize(("k", "paired", "block"), [(5, 6, 1024), (2, 1, 8)])
-def test_chains_and_groups(spark, monkeypatch, k, paired, block):
+@pytest.mark.parametrize(("k", "rounds", "block", "long"), [(5, 3, 1024, 4096), (2, 1, 8, 4096), (2, 1, 8, 50)])
+def test_chains_and_groups(spark, monkeypatch, k, rounds, block, long):
     """Drifting edits, so that ends of a chain aren't similar, and a large group of near copies.
 
-    Buckets go through the join and through blocks.
+    Buckets share a group or go block against block; sets go along or are joined later.
     """
-    monkeypatch.setattr(neardup, "PAIRED", paired)
+    monkeypatch.setattr(neardup, "LEADER_ROUNDS", rounds)
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "LONG_SET", long)
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
     data, base = [], [word() for _ in range(80)]

@@ -7,14 +7,12 @@ overlap.  Bands of registers propose pairs; the numbers of registers that are la
 and equal give the likelihood of each Jaccard similarity, and pairs whose most likely
 similarity is far below the threshold go; the rest are confirmed on the full shingle sets.
 
-Documents with equal shingle sets are one class from the start.  Inside a bucket of a band
-the members are tried with a few leaders first, the same ones in every band as far as bands
-share members; components follow, and where a bucket still spans several, further leaders.
-In the end every pair of classes of a bucket that is still in different components is tried:
-in buckets of few members by a join, in larger ones block against block inside a task, which
-answers only with the links that join components.  Pairs within one component can't change
-the result, so no link between components is lost, and groups of copies or of half-similar
-texts make rows in proportion to their members.
+Documents with equal shingle sets are one class from the start.  In a few rounds every class
+is tried with one leader of its buckets, the same class in every bucket as far as buckets share
+members, and components follow: a group of near copies makes one pair for each member and
+round.  Then every pair of classes of a bucket that is still in different components is tried,
+block against block inside a task, which answers only with the links that join components.
+Pairs within one component can't change the result, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -30,7 +28,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm.common import without_ids
 from weftline.llm.components import connected_components
-from weftline.plans.runtime import bounded_broadcast, materialize, release_shuffles, small_batches
+from weftline.plans.runtime import Scratch, bounded_broadcast, materialize, small_batches
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U = np.uint64
@@ -126,11 +124,11 @@ def registers(hashes: np.ndarray, p: SketchParams) -> np.ndarray:
 
 
 def band_keys(regs: np.ndarray, p: SketchParams) -> np.ndarray:
-    """One 64-bit key per band, over its number and its register values."""
-    table = regs[: p.bands * p.rows].astype(np.uint64).reshape(p.bands, p.rows)
-    h = np.arange(1, p.bands + 1, dtype=np.uint64)
+    """One 64-bit key per band, over its number and its register values; the last axis holds registers."""
+    table = regs[..., : p.bands * p.rows].astype(np.uint64).reshape(*regs.shape[:-1], p.bands, p.rows)
+    h = np.broadcast_to(np.arange(1, p.bands + 1, dtype=np.uint64), table.shape[:-1])
     for j in range(p.rows):
-        h = _mix(h * _U(0x9E3779B97F4A7C15) + table[:, j])
+        h = _mix(h * _U(0x9E3779B97F4A7C15) + table[..., j])
     return h.view(np.int64)
 
 
@@ -194,46 +192,31 @@ def sketches(docs: DataFrame, p: SketchParams, id_col: str, text_col: str) -> Da
     return source.mapInArrow(run, f"doc_id {id_type}, n long, class binary, regs binary, bands array<long>")
 
 
-def _likely(pairs: DataFrame, sketch: DataFrame, p: SketchParams) -> DataFrame:
-    """Pairs (a, b) whose most likely similarity is not far below the threshold."""
-    side = lambda x: sketch.select(F.col("class").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb")
-    least = p.threshold / 100 - p.margin
+@dataclass
+class _Classes:
+    """Arrow columns of a table of classes as arrays: digests, sizes, registers and full sets."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("ra", "rb"))
-            na, nb = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
-            larger, smaller = (a > b).sum(1), (a < b).sum(1)
-            keep = estimate_jaccard(larger, smaller, a.shape[1] - larger - smaller, na, nb, p) >= least
-            keep &= 100 * np.minimum(na, nb) >= p.threshold * np.maximum(na, nb)  # exact bound
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return both.mapInArrow(run, "a binary, b binary")
+    cls: list[bytes]
+    n: np.ndarray
+    regs: np.ndarray
+    sets: list[np.ndarray | None]
 
-
-class _SetCache:
-    """Shingle sets of classes that a Python worker has seen lately, at most 16 MB of them."""
-
-    def __init__(self, most: int = 2_000_000) -> None:
-        self.most, self.held = most, 0
-        self.sets: dict[tuple[int, bytes], np.ndarray] = {}
-        self.seen: dict[bytes, int] = {}
-
-    def of(self, cls: bytes, text: str, p: SketchParams) -> np.ndarray:
-        at = (p.shingle, cls)
-        if at not in self.sets:
-            if self.held > self.most:
-                self.sets.clear()
-                self.held = 0
-            self.sets[at] = shingle_set(words(text), p.shingle, self.seen)
-            self.held += len(self.sets[at])
-        return self.sets[at]
+    @staticmethod
+    def of(table: pa.Table | pa.RecordBatch, suffix: str = "") -> _Classes:
+        cls, regs, sets = (table.column(c + suffix).to_pylist() for c in ("class", "regs", "hashes"))
+        return _Classes(
+            cls,
+            table.column("n" + suffix).to_numpy(zero_copy_only=False).astype(float),
+            np.frombuffer(b"".join(regs), np.uint16).reshape(len(regs), -1),
+            [None if s is None else np.frombuffer(s, np.uint64) for s in sets],
+        )
 
 
-_SETS = _SetCache()
+def _likely(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, p: SketchParams) -> np.ndarray:
+    """Which rows of two register arrays belong to pairs that are to be confirmed on full sets."""
+    larger, smaller = (a > b).sum(1), (a < b).sum(1)
+    keep = estimate_jaccard(larger, smaller, b.shape[1] - larger - smaller, na, nb, p) >= p.threshold / 100 - p.margin
+    return keep & (100 * np.minimum(na, nb) >= p.threshold * np.maximum(na, nb))  # exact bound
 
 
 def _linked(x: np.ndarray, y: np.ndarray, p: SketchParams) -> bool:
@@ -242,16 +225,24 @@ def _linked(x: np.ndarray, y: np.ndarray, p: SketchParams) -> bool:
     return 100 * common >= p.threshold * (len(x) + len(y) - common)
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, p: SketchParams) -> DataFrame:
-    """Pairs (a, b) that link on their full sets."""
-    side = lambda x: texts.select(F.col("class").alias(x), F.col("text").alias(f"t{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
+def _confirmed(pairs: DataFrame, near: DataFrame, p: SketchParams) -> DataFrame:
+    """Pairs (a, b), by the 64-bit handles of classes, that are likely and link on their full sets.
+
+    ``pairs`` holds a few rows for each class, so both joins make a row for each pair.
+    """
+    side = lambda x: near.select(F.col("handle").alias(x), *[F.col(c).alias(c + x) for c in ("class", "n", "regs", "hashes")])
+    both = pairs.join(side("a"), "a").join(side("b"), "b").drop("a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True)
-            keep = [_linked(_SETS.of(a, ta, p), _SETS.of(b, tb, p), p) for a, b, ta, tb in rows]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            if not batch.num_rows:
+                continue
+            x, y = _Classes.of(batch, "a"), _Classes.of(batch, "b")
+            keep = _likely(x.regs, y.regs, x.n, y.n, p)
+            keep = [bool(k) and _linked(s, t, p) for k, s, t in zip(keep, x.sets, y.sets, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("classa").filter(pa.array(keep)), batch.column("classb").filter(pa.array(keep))], names=["a", "b"]
+            )
 
     return both.mapInArrow(run, "a binary, b binary")
 
@@ -268,154 +259,184 @@ def near_duplicates(
     smallest.  Other columns are ignored; an empty table gives an empty result.
     """
     p = params or SketchParams()
-    spark = docs.sparkSession
-    small_batches(spark)
-    sketch = materialize(sketches(docs, p, id_col, text_col), "sketches")
-    held = sketch.where(F.col("class").isNotNull())
-
-    # Buckets of a band that hold more than one class, and their members.
-    members = held.select("class", F.explode("bands").alias("key"))
-    mixed = (
-        members.groupBy("key")
-        .agg(F.min("class").alias("low"), F.max("class").alias("high"), *_leaders(range(LEADERS)))
-        .where("low <> high")
-        .select("key", F.array("low", "high", *[f"l{i}.class" for i in range(LEADERS)]).alias("leaders"))
+    small_batches(docs.sparkSession)
+    with Scratch(docs.sparkSession) as scratch:
+        sketch = scratch.write(sketches(docs, p, id_col, text_col), "sketches", keep=True)
+        buckets = scratch.write(_buckets(sketch), "buckets")
+        near = scratch.write(_near(docs, sketch, buckets, p, id_col, text_col), "near")
+        placed = buckets.select("key", "class", "handle").withColumn("root", F.col("class"))
+        found, root = None, None
+        for salt in range(LEADER_ROUNDS):
+            pairs = _first_leaders(buckets) if salt == 0 else _leaders(placed, salt)
+            links = scratch.write(_confirmed(pairs, near, p), f"links-{salt}")
+            found = links if found is None else found.unionByName(links)
+            root = connected_components(found, scratch=scratch)
+            placed = scratch.write(_open_buckets(placed, root), f"open-{salt}")
+        links = scratch.write(_block_links(placed, near, p), "links-blocks")
+        unsure = scratch.write(links.where(~F.col("sure")).select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")).distinct(), "unsure")
+        found = found.unionByName(links.where("sure").select("a", "b")).unionByName(_confirmed(unsure, near, p))
+        root = scratch.write(connected_components(found, scratch=scratch), "roots", keep=True)
+    return _resolved(sketch, root)
+
+
+#: Rounds in which every class is tried with one leader.
+LEADER_ROUNDS = 3
+
+
+def _buckets(sketch: DataFrame) -> DataFrame:
+    """(key, class, handle, low) of band buckets with more than one class.
+
+    ``handle`` is a 64-bit hash of the class and ``low`` the least of the bucket: its first
+    leader, the same class in every bucket that holds it.  Copies are combined before the
+    shuffle, and what is shuffled is two handles for each key of a partition.
+    """
+    members = sketch.where(F.col("class").isNotNull()).select(
+        "class", F.xxhash64("class").alias("handle"), F.explode("bands").alias("key")
     )
-    buckets = materialize(members.join(mixed, "key").dropDuplicates(["key", "class"]), "buckets")
-    release_shuffles(spark)
+    mixed = members.groupBy("key").agg(F.min("handle").alias("low"), F.max("handle").alias("high")).where("low <> high")
+    mixed = bounded_broadcast(materialize(mixed.select("key", "low"), "mixed"), 40)
+    return members.join(mixed, "key").groupBy("key", "class", "handle").agg(F.min("low").alias("low"))
+
 
-    # One text and one row of registers for each class in such a bucket.
+def _near(docs: DataFrame, sketch: DataFrame, buckets: DataFrame, p: SketchParams, id_col: str, text_col: str) -> DataFrame:
+    """One row for each class in a bucket: class, handle, n, regs and ``hashes``, its full set.
+
+    Each class is represented by one document.  Ids may repeat with other text, so the class
+    is computed again and must agree.
+    """
     wanted = buckets.select("class").distinct()
-    near = held.join(wanted, "class", "left_semi").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("regs").alias("regs"), F.first("bands").alias("bands")
-    )
-    near = materialize(near, "candidates")
-    texts = materialize(_texts_of(docs, near.select("class", "doc_id"), p, id_col, text_col), "texts")
-    release_shuffles(spark)
-
-    def links(pairs: DataFrame, name: str) -> DataFrame:
-        likely = materialize(_likely(pairs, near, p), f"likely-{name}")
-        return materialize(_confirmed(likely, texts, p), f"links-{name}")
-
-    def unlike(x: DataFrame) -> DataFrame:
-        """Distinct unordered pairs of two different classes, ``other`` and ``class``."""
-        x = x.where("other <> class")
-        return x.select(F.least("other", "class").alias("a"), F.greatest("other", "class").alias("b")).distinct()
-
-    # Each bucket's members with its leaders.
-    found = links(unlike(buckets.select(F.explode("leaders").alias("other"), "class")), "star")
-    root = connected_components(found)
-    release_shuffles(spark)
-
-    # Where a bucket spans several components, members with further leaders of other components.
-    placed = materialize(_open_buckets(buckets, root), "open")
-    more = placed.groupBy("key").agg(*_leaders(range(LEADERS, LEADERS + MORE_LEADERS), "root")).select(
-        "key", F.array(*[f"l{i}" for i in range(LEADERS, LEADERS + MORE_LEADERS)]).alias("leaders")
+    chosen = (
+        sketch.where(F.col("class").isNotNull()).join(wanted, "class", "left_semi")
+        .groupBy("class").agg(F.min("doc_id").alias("least"))
     )
-    star = placed.join(more, "key").select("class", "root", F.explode("leaders").alias("l"))
-    star = star.where("root <> l.root").select(F.col("l.class").alias("other"), "class")
-    added = links(unlike(star), "star2")
-    found = found.unionByName(added)
-    root = root if added.isEmpty() else connected_components(found)
-    release_shuffles(spark)
-
-    # Pairs of a bucket whose classes are in different components yet.
-    placed = _open_buckets(placed.select("key", "class"), root)
-    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    placed = materialize(placed.join(sizes, "key"), "open")
-    few = placed.where(F.col("members") <= PAIRED)
-    left = few.select("key", F.col("class").alias("other"), F.col("root").alias("ro"))
-    cross = unlike(left.join(few, "key").where("other < class AND ro <> root"))
-    added = links(cross, "cross").unionByName(_block_links(placed.where(F.col("members") > PAIRED), near, texts, p))
-    added = materialize(added, "links-last")
-    return _resolved(sketch, root if added.isEmpty() else connected_components(found.unionByName(added)))
-
-
-#: Buckets of more members than PAIRED are compared in blocks of about BLOCK members.
-PAIRED, BLOCK = 6, 1024
-
-
-def _block_links(placed: DataFrame, near: DataFrame, texts: DataFrame, p: SketchParams) -> DataFrame:
-    """Links (a, b) that join components inside large buckets: all pairs, exactly.
-
-    A bucket's members are dealt into blocks of about ``BLOCK`` and every two blocks meet in one
-    group, so a task holds two blocks whatever the bucket's size, and a member is sent once for
-    every block of its bucket.  A pair is tried in the first band that its classes share.
-    """
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("class"), blocks).cast("int")
-    dealt = placed.select("key", "class", "root", blocks.alias("blocks"), own.alias("own"))
-    dealt = dealt.select(
-        "key", "class", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select("key", "class", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    rows = dealt.join(near.select("class", "n", "regs", "bands"), "class").join(texts, "class")
-    least = p.threshold / 100 - p.margin
+    chosen = bounded_broadcast(materialize(chosen, "chosen"), 64)
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    both = source.join(chosen, source["doc_id"].eqNullSafe(chosen["least"])).select("class", "text")
 
-    def run(group: pa.Table) -> pa.Table:
-        cls, roots, key = group.column("class").to_pylist(), group.column("root").to_pylist(), group.column("key")[0].as_py()
-        own, n = group.column("own").to_numpy(), group.column("n").to_numpy().astype(float)
-        regs = np.frombuffer(b"".join(group.column("regs").to_pylist()), np.uint16).reshape(len(cls), -1)
-        bands = np.array(group.column("bands").to_pylist())
-        texts = group.column("text").to_pylist()
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        x, y = (np.flatnonzero(own == b) for b in (i, j))
-        first = bands[:, : int(np.flatnonzero(bands[0] == key)[0])]
-        component = np.unique(np.array(roots, dtype=object), return_inverse=True)[1]
-        out: list[tuple[bytes, bytes]] = []
-        for at in x:
-            with_ = y[y > at] if i == j else y
-            with_ = with_[(component[with_] != component[at]) & (100 * np.minimum(n[at], n[with_]) >= p.threshold * np.maximum(n[at], n[with_]))]
-            with_ = with_[~(first[with_] == first[at]).any(axis=1)]
-            if not len(with_):
-                continue
-            larger, smaller = (regs[at] > regs[with_]).sum(1), (regs[at] < regs[with_]).sum(1)
-            likely = estimate_jaccard(larger, smaller, regs.shape[1] - larger - smaller, np.full(len(with_), n[at]), n[with_], p) >= least
-            for k in with_[likely]:
-                if component[k] != component[at] and _linked(_SETS.of(cls[at], texts[at], p), _SETS.of(cls[k], texts[k], p), p):
-                    component[component == component[k]] = component[at]
-                    out.append((min(cls[at], cls[k]), max(cls[at], cls[k])))
-        return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, int] = {}
+        for batch in batches:
+            cls, n, regs, hashes = [], [], [], []
+            for c, t in zip(batch.column("class").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                s = shingle_set(words(t), p.shingle, seen)
+                if xxhash.xxh3_128_digest(s.tobytes()) == c:
+                    cls.append(c), n.append(len(s)), hashes.append(s.tobytes()), regs.append(registers(s, p).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cls, pa.binary()), pa.array(n, pa.int64()), pa.array(regs, pa.binary()), pa.array(hashes, pa.binary())],
+                names=["class", "n", "regs", "hashes"],
+            )
+
+    rows = both.mapInArrow(run, "class binary, n long, regs binary, hashes binary").dropDuplicates(["class"])
+    return rows.withColumn("handle", F.xxhash64("class"))
 
-    return rows.groupBy("key", "i", "j").applyInArrow(run, "a binary, b binary")
 
+def _first_leaders(buckets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of handles: each class with the least of its buckets' leaders."""
+    return buckets.where("handle <> low").groupBy(F.col("handle").alias("a")).agg(F.min("low").alias("b"))
 
-#: Leaders of a bucket besides its smallest and largest class, in the first and second round.
-LEADERS, MORE_LEADERS = 1, 5
 
+def _leaders(placed: DataFrame, salt: int) -> DataFrame:
+    """Pairs (a, b) of handles: each class of an open bucket with one leader of another component.
 
-def _leaders(numbers: range, *more: str) -> list:
-    """For each number the class (and columns) whose salted hash is smallest, as struct ``l<number>``."""
-    return [F.min(F.struct(F.xxhash64(F.lit(i), "class").alias("h"), "class", *more)).alias(f"l{i}") for i in numbers]
+    A bucket's leader is the class with the least salted hash, so mostly one of the bucket's
+    largest component, whose members then make no pair.
+    """
+    drawn = F.struct(F.xxhash64(F.lit(salt), "handle").alias("drawn"), "handle", "root")
+    first = placed.groupBy("key").agg(F.min(drawn).alias("leader"))
+    other = placed.join(first, "key").where(F.col("root") != F.col("leader.root"))
+    return other.groupBy(F.col("handle").alias("a")).agg(F.min("leader").alias("leader")).select("a", F.col("leader.handle").alias("b"))
 
 
-def _open_buckets(buckets: DataFrame, root: DataFrame) -> DataFrame:
-    """(key, class, root) of the buckets that span more than one component."""
-    placed = buckets.join(root, buckets["class"] == root["node"], "left").select(
-        "key", "class", F.coalesce("root", "class").alias("root")
+def _open_buckets(placed: DataFrame, root: DataFrame) -> DataFrame:
+    """(key, class, handle, root) of the buckets that span more than one component."""
+    label = root.select(F.col("node").alias("class"), F.col("root").alias("label"))
+    placed = placed.drop("root").join(label, "class", "left").select(
+        "key", "class", "handle", F.coalesce("label", "class").alias("root")
     )
-    keys = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+    code = F.xxhash64("root")
+    keys = placed.groupBy("key").agg(F.min(code).alias("r0"), F.max(code).alias("r1")).where("r0 <> r1").select("key")
     return placed.join(keys, "key", "left_semi")
 
 
-def _texts_of(docs: DataFrame, near: DataFrame, p: SketchParams, id_col: str, text_col: str) -> DataFrame:
-    """(class, text): the text of the document that stands for each class.
+#: Members of a block, and shingles up to which a full set goes with its class into a block.
+BLOCK, LONG_SET = 1024, 4096
 
-    Ids may repeat with other text, so the class is computed again and must agree.
-    """
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    wanted = bounded_broadcast(near, 64)
-    both = source.join(wanted, source["doc_id"].eqNullSafe(wanted["doc_id"])).select("class", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        for batch in batches:
-            keep = [
-                xxhash.xxh3_128_digest(shingle_set(words(t), p.shingle, seen).tobytes()) == c
-                for c, t in zip(batch.column("class").to_pylist(), batch.column("text").to_pylist(), strict=True)
-            ]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+def _block_links(placed: DataFrame, near: DataFrame, p: SketchParams) -> DataFrame:
+    """(a, b, sure): links between components inside a bucket, from all of its pairs of classes.
 
-    return both.mapInArrow(run, "class binary, text string").dropDuplicates(["class"])
+    A bucket's largest component and the rest are dealt into blocks of about ``BLOCK`` members.
+    Each block of the rest meets itself, the others of the rest and each block of the largest
+    component in a group, so a group holds two blocks whatever the bucket's size, and a
+    component with a few classes beside it is sent once.  Small buckets share groups.  Pairs
+    are tried in the first band that both classes share.  Pairs with a set of more than
+    ``LONG_SET`` shingles come back as not sure; they are confirmed by a join.
+    """
+    per = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    per = per.groupBy("key").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("members"))
+    rows = placed.join(per, "key")
+    bins = max(1, placed.count() // BLOCK)
+    large, main = F.col("members") > BLOCK, F.col("root") == F.col("top.root")
+    rest_blocks = F.ceil((F.col("members") - F.col("top.c")) / BLOCK).cast("int")
+    main_blocks = F.ceil(F.col("top.c") / BLOCK).cast("int")
+    rows = rows.select(
+        "key", "class", "root", large.alias("large"),
+        F.when(large, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(bins))).alias("place"),
+        F.when(large, rest_blocks).otherwise(1).alias("rests"),
+        F.when(large, rest_blocks + main_blocks).otherwise(1).alias("blocks"),
+        F.when(~large, 0).when(main, rest_blocks + F.pmod(F.xxhash64("class"), main_blocks))
+        .otherwise(F.pmod(F.xxhash64("class"), rest_blocks)).cast("int").alias("own"),
+    )
+    last = F.when(F.col("own") < F.col("rests"), F.col("blocks")).otherwise(F.col("rests")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    rows = rows.select(
+        "key", "class", "root", "large", "place", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
+    full = F.when(F.col("n") <= LONG_SET, F.col("hashes")).alias("hashes")
+    rows = rows.join(near.select("class", "n", "regs", full), "class")
+
+    def run(group: pa.Table) -> pa.Table:
+        out: list[tuple[bytes, bytes, bool]] = []
+        if group.num_rows:
+            keys = group.column("key").to_numpy()
+            i, j, own = group.column("i")[0].as_py(), group.column("j")[0].as_py(), group.column("own").to_numpy()
+            component = group.column("root").combine_chunks().dictionary_encode().indices.to_numpy().copy()
+            members = _Classes.of(group)
+            bands = band_keys(members.regs, p)
+            order = np.argsort(keys, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
+                first = int(np.flatnonzero(bands[at[0]] == keys[at[0]])[0])
+                out += _bucket_links(members, at[own[at] == i], at[own[at] == j], bands[:, :first], component, p)
+        a, b, sure = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "sure": pa.array(sure, pa.bool_())})
+
+    return rows.groupBy("large", "place", "i", "j").applyInArrow(run, "a binary, b binary, sure boolean")
+
+
+def _bucket_links(m: _Classes, x: np.ndarray, y: np.ndarray, before: np.ndarray, component: np.ndarray, p: SketchParams) -> list[tuple[bytes, bytes, bool]]:
+    """Links between the members ``x`` and ``y`` of one bucket.
+
+    ``before`` holds the keys of the bands before the bucket's, whose pairs are tried there;
+    ``component`` is updated by the links.
+    """
+    out = []
+    same = np.array_equal(x, y)
+    for place, k in enumerate(x.tolist()):
+        with_ = y[place + 1 :] if same else y
+        n = m.n[with_]
+        open_ = (component[with_] != component[k]) & (100 * np.minimum(m.n[k], n) >= p.threshold * np.maximum(m.n[k], n))
+        with_ = with_[open_ & ~(before[with_] == before[k]).any(axis=1)]
+        if len(with_):
+            with_ = with_[_likely(m.regs[k][None], m.regs[with_], np.full(len(with_), m.n[k]), m.n[with_], p)]
+        for o in with_.tolist():
+            if component[k] == component[o]:
+                continue
+            sure = m.sets[k] is not None and m.sets[o] is not None
+            if not sure or _linked(m.sets[k], m.sets[o], p):
+                out.append((m.cls[k], m.cls[o], sure))
+                if sure:
+                    component[component == component[o]] = component[k]
+    return out
 
 
 def _resolved(sketch: DataFrame, root: DataFrame) -> DataFrame:
