@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
-from datetime import date, timedelta
+from datetime import date
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -87,21 +90,45 @@ def permute_digits(digits: str, key: bytes, tweak: bytes) -> str:
     return str(feistel(int(digits), 10**n, key, tweak + b"%d" % n)).zfill(n) if n else digits
 
 
+#: Letters and digits that are permuted together; longer words go block by block.
+BLOCK_CHARS = 16
+
+
 def permute_word(word: str, key: bytes, tweak: bytes) -> str:
-    """ASCII letters map to letters and digits to digits; the rest and the case pattern stay."""
-    radix = [26 if c.isascii() and c.isalpha() else 10 if c.isascii() and c.isdigit() else 1 for c in word]
+    """ASCII letters map to letters and digits to digits; the rest and the case pattern stay.
+
+    Words with more than ``BLOCK_CHARS`` letters and digits are permuted in blocks, first
+    forwards, each block under a tweak from the block before it, and then backwards: still one
+    permutation of the words of this format, in time proportional to their length.
+    """
+    at = [i for i, c in enumerate(word) if c.isascii() and c.isalnum()]
+    radix = [10 if word[i].isdigit() else 26 for i in at]
+    values = [ord(word[i]) - 48 if n == 10 else (ord(word[i]) | 32) - 97 for i, n in zip(at, radix, strict=True)]
+    shape = "".join("9" if c.isascii() and c.isdigit() else "a" if c.isascii() and c.isalpha() else c for c in word)
+    base = tweak + hashlib.sha256(shape.encode("utf-8", "surrogatepass")).digest()
+    starts = range(0, len(at), BLOCK_CHARS)
+    for sweep in (starts, reversed(starts)) if len(starts) > 1 else (starts,):
+        chained = b"" if sweep is starts else b"back"
+        for s in sweep:
+            part = slice(s, s + BLOCK_CHARS)
+            values[part] = _permute_block(values[part], radix[part], key, base + b"%d" % s + chained)
+            chained = bytes(values[part]) + (b"" if sweep is starts else b"back")
+    out = list(word)
+    for i, n, v in zip(at, radix, values, strict=True):
+        out[i] = chr(48 + v) if n == 10 else chr(65 + v) if word[i].isupper() else chr(97 + v)
+    return "".join(out)
+
+
+def _permute_block(values: list[int], radix: list[int], key: bytes, tweak: bytes) -> list[int]:
     size, x = 1, 0
-    for c, n in zip(word.lower(), radix, strict=True):
-        size *= n
-        x = x * n + (ord(c) - 97 if n == 26 else ord(c) - 48 if n == 10 else 0)
-    shape = "".join("a" if n == 26 else "9" if n == 10 else c for c, n in zip(word, radix, strict=True))
-    x = feistel(x, size, key, tweak + shape.encode("utf-8", "surrogatepass"))
+    for v, n in zip(values, radix, strict=True):
+        size, x = size * n, x * n + v
+    x = feistel(x, size, key, tweak)
     out = []
-    for c, n in zip(reversed(word), reversed(radix), strict=True):
-        x, d = divmod(x, n)
-        new = chr(97 + d) if n == 26 else chr(48 + d) if n == 10 else c
-        out.append(new.upper() if c.isupper() and n == 26 else new)
-    return "".join(reversed(out))
+    for n in reversed(radix):
+        x, v = divmod(x, n)
+        out.append(v)
+    return out[::-1]
 
 
 def luhn_digit(payload: str) -> str:
@@ -202,33 +229,40 @@ def _iban(value: str, key: bytes) -> str | None:
 
 
 #: Dates permute within 1900-2099.
-FIRST, DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
+FIRST, LAST = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
+
+
+@lru_cache(maxsize=16)
+def _dates(order: str, day_width: int, month_width: int) -> array:
+    """Ordinals of the dates that a format can write, in order.
+
+    A field of one character holds 1 to 9.  ``mdy`` stands for values that aren't dates when
+    read day first, so it and ``dmy`` have no value in common.
+    """
+    days = map(date.fromordinal, range(FIRST, LAST + 1))
+    return array("l", (
+        d.toordinal() for d in days
+        if (day_width > 1 or d.day < 10) and (month_width > 1 or d.month < 10) and (order != "mdy" or d.day > 12)
+    ))
 
 
 def _date(value: str, key: bytes) -> str | None:
     sep = next(c for c in value if not c.isdigit())
     parts = value.split(sep)
-    year_first = len(parts[0]) == 4
-    y, m, d = (parts if year_first else reversed(parts))
-    day_first = True
-    try:
-        day = date(int(y), int(m), int(d))
-    except ValueError:
-        if year_first:
-            return None
-        day_first = False
+    for order in ("ymd",) if len(parts[0]) == 4 else ("dmy", "mdy"):
+        text = dict(zip(order, parts, strict=True))
         try:
-            day = date(int(y), int(d), int(m))
+            day = date(int(text["y"]), int(text["m"]), int(text["d"])).toordinal()
         except ValueError:
+            continue
+        if not FIRST <= day <= LAST:
             return None
-    at = (day - FIRST).days
-    if not 0 <= at < DAYS:
-        return None
-    new = FIRST + timedelta(feistel(at, DAYS, key, b"date"))
-    if year_first:
-        return f"{new.year:04d}{sep}{new.month:02d}{sep}{new.day:02d}"
-    first, second = (new.day, new.month) if day_first else (new.month, new.day)
-    return f"{first:02d}{sep}{second:02d}{sep}{new.year:04d}"
+        domain = _dates(order, len(text["d"]), len(text["m"]))
+        at = feistel(bisect_left(domain, day), len(domain), key, f"date{order}{sep}{len(text['d'])}{len(text['m'])}".encode())
+        new = date.fromordinal(domain[at])
+        fields = {"y": f"{new.year:04d}", "m": f"{new.month:0{len(text['m'])}d}", "d": f"{new.day:0{len(text['d'])}d}"}
+        return sep.join(fields[f] for f in order)
+    return None
 
 
 #: Characters of an IBAN by country (fixed values).
@@ -293,18 +327,23 @@ def find_pii(text: str | None, key: bytes) -> list[tuple[str, int, int, str]]:
         if not digits if kind != "email" else "@" not in text:
             continue
         pattern, convert = RULES[kind]
+        ends = [x[2] for x in taken]  # those of the earlier kinds, in order
+        own = []
         at = 0
         while m := pattern.search(text, at):
             start, at = m.start(), m.start() + 1
+            next_ = bisect_right(ends, start)
+            limit = taken[next_][1] if next_ < len(taken) else len(text)
             for end in _ends(kind, m):
-                if any(start < e and s < end for _, s, e, _ in taken) or end < m.end() and not pattern.fullmatch(text, start, end):
+                if end > limit or end < m.end() and not pattern.fullmatch(text, start, end):
                     continue
                 new = convert(text[start:end], key)
                 if new is not None:
-                    taken.append((kind, start, end, new))
+                    own.append((kind, start, end, new))
                     at = end
                     break
-    return sorted(taken, key=lambda x: x[1])
+        taken = sorted(taken + own, key=lambda x: x[1])
+    return taken
 
 
 def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[tuple[str, int, int, str]]]:
