@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import random
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
+from datetime import date, timedelta
 
 import numpy as np
 import pytest
@@ -84,6 +87,79 @@ def test_pii_cases(spark):
     assert pii.pseudonymise_documents(spark.createDataFrame([], SCHEMA), "k").count() == 0
 
 
+def luhn_ok(digits):
+    total = sum(int(c) for c in digits[-1::-2]) + sum(sum(divmod(2 * int(c), 10)) for c in digits[-2::-2])
+    return total % 10 == 0
+
+
+def test_pii_against_planted_values():
+    """Values made here, with checks of their own, are found where they were put, and nothing else is."""
+    rng = random.Random(3)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        while not luhn_ok(n := "4" + digits(15)):
+            pass
+        return n
+
+    def iban():
+        body = digits(18)
+        return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+
+    makers = {
+        "email": lambda: f"{rng.choice(['ana', 'bo.li', 'C_d'])}{digits(2)}@mail{digits(2)}.example.org", "card": card, "iban": iban,
+        "ssn": lambda: f"{rng.randint(1, 665):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}",
+        "ipv4": lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4)),
+        "phone": lambda: f"+1 ({digits(3)}) {digits(3)}-{digits(4)}", "date": lambda: f"{rng.randint(1900, 2099)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}",
+    }
+    images = {k: {} for k in makers}
+    for _ in range(150):
+        parts, want, at = [], [], 0
+        for _ in range(rng.randint(0, 5)):
+            kind = rng.choice(list(makers))
+            for piece, k in ((rng.choice(["said so: ", "word ", "12 apples, "]), None), (makers[kind](), kind), (rng.choice([". ", ", ", " and "]), None)):
+                if k:
+                    want.append((k, at, at + len(piece), piece))
+                parts.append(piece)
+                at += len(piece)
+        text = "".join(parts)
+        new, found = pii.pseudonymise(text, KEY)
+        assert [x[:3] for x in found] == [x[:3] for x in want], text
+        shift = 0
+        for (kind, s, e, value), (*_, image) in zip(want, found, strict=True):
+            assert new[s + shift : e + shift] != value or kind == "ipv4"
+            shift += len(image) - len(value)
+            assert images[kind].setdefault(value, image) == image
+            if kind == "card":
+                assert luhn_ok(image)
+            if kind == "iban":
+                assert int(image[4:] + "1314" + image[2:4]) % 97 == 1
+    for by in images.values():
+        assert len(set(by.values())) == len(by)
+
+
+def test_pii_dates_keep_their_format_apart():
+    day, images = date(1900, 1, 1), {}
+    while day.year < 2100:
+        d, m, y = day.day, day.month, day.year
+        for v in {f"{d:02d}/{m:02d}/{y}", f"{m:02d}/{d:02d}/{y}", f"{d}/{m}/{y}", f"{d}.{m:02d}.{y}", f"{y}-{m:02d}-{d:02d}", f"{y}-{m}-{d}"}:
+            image = pii._date(v, KEY)
+            assert re.sub(r"\d", "9", image) == re.sub(r"\d", "9", v) and images.setdefault(image, v) == v
+        day += timedelta(7)
+
+
+def test_pii_odd_and_long_names():
+    assert [x[:3] for x in pii.find_pii("İstanbul@example.com", KEY)] == [("email", 0, 20)]
+    names = ["a" * 40, "a" * 39 + "b", "b" + "a" * 39, "A" * 40, "a" * 41]
+    images = [pii.permute_word(n, KEY, b"t") for n in names]
+    assert len({x.lower() for x in images}) == 4 and images[3].lower() == images[0] and [len(x) for x in images] == [len(x) for x in names]
+    assert sum(x != y for x, y in zip(images[0], images[1], strict=True)) > 20  # the last letter changes all blocks
+    began = time.perf_counter()
+    assert len(pii.find_pii("x" * 100_000 + "@example.com", KEY)) == 1
+    assert len(pii.find_pii(" ".join(f"10.{i // 250}.{i % 250}.7" for i in range(5000)), KEY)) == 5000
+    assert time.perf_counter() - began < 20
+
+
 # --- Quality -----------------------------------------------------------------------------
 
 
@@ -182,6 +258,60 @@ def test_wrapped_wordings(lead):
     assert licenses.find_licenses("All rights\n\nreserved.", t) == []
 
 
+BSD_3 = """Copyright (c) 2020, Jane
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+Other prose that has nothing to do with it at all.
+"""
+
+
+def test_licenses_as_published():
+    t = licenses.Templates()
+    (found,) = licenses.find_licenses(BSD_3, t)
+    assert found[0] == "BSD-3-Clause" and BSD_3[found[1] : found[2]].endswith("prior written permission.")
+    for name, text in licenses.FULL_TEXTS.items():
+        for before, after in (("", ""), ("Prose.\n\n", "\n\nProse after it.")):
+            wrapped = textwrap.fill(text, 76)
+            assert [x[0] for x in licenses.find_licenses(before + wrapped + after, t)] == [name]
+    assert licenses.find_licenses("It is not licensed under the MIT License", t) == []
+    both = licenses.FULL_TEXTS["Zlib"] + "\n\nReleased under the MIT License"
+    assert [x[0] for x in licenses.find_licenses(both, t)] == ["Zlib", "MIT"]
+
+
+def test_licenses_against_a_plain_finder():
+    """Notices at random places of random prose, with a word changed now and then, against a search for their words."""
+    rng, t = random.Random(4), licenses.Templates()
+    prose = ["stone", "river", "the", "of", "under", "software", "public", "license", "permission", "version", "copy"]
+    notices = {n: w[0].replace("{", "").replace("}", "") for n, w in licenses.WORDINGS.items()}
+    for _ in range(120):
+        want, paragraphs = [], []
+        for _ in range(rng.randint(1, 4)):
+            words = rng.choices(prose, k=rng.randint(0, 40))
+            if rng.random() < 0.5:
+                name = rng.choice(list(notices))
+                words[rng.randint(0, len(words)) : 0] = [*notices[name].split(), "."]
+                want.append(name)
+            paragraphs.append(" ".join(words))
+        got = [x[0] for x in licenses.find_licenses("\n\nx\n\n".join(paragraphs), t)]
+        assert Counter(want) - Counter(got) == Counter(), (want, got)
+        for extra in set(got) - set(want):
+            marks = [set(re.findall(r"\{([^}]*)\}", w.lower())) for w in licenses.WORDINGS[extra]]
+            assert any(m <= set(re.findall(r"[\w.-]+", " ".join(paragraphs).lower())) for m in marks)
+
+
 # --- HTML --------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header>Site</header><nav><ul><li>menu</ul></nav>
@@ -198,6 +328,34 @@ def test_html_extraction():
     assert html_text.extract(PAGE[: PAGE.index("Last")], "/body/article").endswith("Three four five")
 
 
+def test_html_depth_and_open_quotes():
+    """Time and memory stay in proportion to the page."""
+    began = time.perf_counter()
+    assert html_text.extract("<div>" * 80_000 + "deep" + "</div>" * 80_000, None) == "deep"
+    assert html_text.extract("<div>t" * 20_000, None).count("t") == 20_000
+    assert html_text.extract("<p>kept</p>" + "<a b='" * 40_000, None) == "kept"
+    assert html_text.extract("<ul>" * 20_000 + "<li>x", None) == "x"
+    assert time.perf_counter() - began < 30
+    assert html_text.extract('<p>a <a title="x>y">b</a> c</p><p title="open>d</p><p>e</p>', None) == "a b c\nd\ne"
+
+
+def test_html_article_parts():
+    page = "<body><header><h1>Site</h1></header><article><header><h1>Headline</h1></header><p>E = <math><mi>m</mi></math> end</p>{}</article></body>"
+    assert html_text.extract(page.format("<section class='search-results'><p>Rows.</p></section>"), None) == "Headline\nE = m end\nRows."
+    assert html_text.extract(page.format("<div class='search-form'><p>Rows.</p></div>"), None) == "Headline\nE = m end"
+    assert html_text.extract("<div class=c><div class=text><p>" + "First part. " * 9 + "</p></div><p>Short</p></div>", None).endswith("\nShort")
+
+
+def test_html_ties_and_missing_urls(spark):
+    """Equal votes go to the larger score, then to the smaller path; a null url is a host of its own."""
+    page = lambda c, n: f"<body><div class={c}><p>{'word ' * n}</p></div><div class=z><p>{'tail ' * 3}</p></div></body>"
+    data = [(1, "http://h.org/1", page("b", 30)), (2, "http://h.org/2", page("a", 30)), (3, None, page("c", 30)), (4, "nohost", page("c", 30)), (5, "http://h.org/3", None)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string")
+    got = {r.page_id: r for r in html_text.main_text(df).collect()}
+    assert got[1].path == got[2].path == got[5].path == "/body/div.a" and got[3].path == got[4].path == "/body/div.c"
+    assert got[5].text == "" and got[1].text.startswith("word") and got[3].url is None
+
+
 def test_html_layouts():
     long = "Some running text of the story. " * 12
     want = "\n".join(["Title", "Intro here.", long.strip(), "Tail here."])
@@ -214,7 +372,7 @@ def test_html_layouts():
         f'<body>{nav}{inner.format("<section>", "</section>")}</body>',
         f'<body>{nav}<article>{inner.format("", "")}</article><div class="cookie-consent">{long * 3}</div></body>',
     ):
-        for path in (None, html_text.best_path(html_text.score_paths(page))):
+        for path in (None, html_text.best_path(page)):
             assert html_text.extract(page, path) == want, page
 
 

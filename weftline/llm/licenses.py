@@ -1,10 +1,12 @@
 """License scans by conditional compression.
 
 Paragraphs that speak of licensing are compressed with zstandard, piece by piece, once without
-help and once with each license's wordings as a raw dictionary.  The licenses are ranked by
-how much smaller their dictionary makes a piece; going down the ranking, a license is
-confirmed if the words by which the block differs from one of its wordings leave the words
-that identify the license untouched and are few.
+help and once with each license's wordings and text as a raw dictionary.  The licenses are
+ranked by how much smaller their dictionary makes a piece.  The best decides which paragraphs
+after it belong to the block; and going down the ranking a license holds if the words by which
+the block differs from one of its wordings are few and leave the words that identify the license
+untouched.  The ranking has no lower end: a wording of three words in a long piece may save no
+byte at all.
 """
 
 from __future__ import annotations
@@ -20,6 +22,13 @@ from pyspark.sql import functions as F
 
 from weftline.plans.runtime import small_batches
 
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution."
+)
 #: Public wordings of license notices by SPDX id (fixed values).  Words in braces identify
 #: the license: a block that lacks one of them doesn't hold it.
 WORDINGS: dict[str, tuple[str, ...]] = {
@@ -62,10 +71,16 @@ WORDINGS: dict[str, tuple[str, ...]] = {
         "This Source Code Form is subject to the terms of the {Mozilla} Public License, v. {2.0}",
         "SPDX-License-Identifier: {MPL-2.0}",
     ),
+    "Zlib": ("This software is provided {as-is}, without any express or implied warranty. In no event will the authors be held "
+             "{liable} for any damages arising from the use of this software",
+             "SPDX-License-Identifier: {Zlib}"),
+    "BSL-1.0": ("Distributed under the {Boost} {Software} License, Version {1.0}", "SPDX-License-Identifier: {BSL-1.0}"),
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met: {Neither} the {name} of the copyright holder nor the names of its "
         "contributors may be used to endorse or promote products",
+        _BSD_CONDITIONS + " 3. {Neither} the {name} of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission",
         "Released under the {BSD} {3-Clause} License",
         "SPDX-License-Identifier: {BSD-3-Clause}",
     ),
@@ -90,13 +105,62 @@ WORDINGS: dict[str, tuple[str, ...]] = {
     "all-rights-reserved": ("{All} {rights} {reserved}",),
 }
 
+_NO_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+    "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+#: Public texts of short licenses (fixed values): what follows a notice's first words belongs
+#: to the notice if its license's text explains it.
+FULL_TEXTS: dict[str, str] = {
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the Software), to deal in the Software without restriction, including without limitation the rights "
+    "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to "
+    "whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this "
+    "permission notice shall be included in all copies or substantial portions of the Software. " + _NO_WARRANTY,
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "
+    "AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+    "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+    "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "BSD-2-Clause": f"{_BSD_CONDITIONS} {_BSD_DISCLAIMER}",
+    "BSD-3-Clause": f"{_BSD_CONDITIONS} 3. Neither the name of the copyright holder nor the names of its contributors may be used "
+    f"to endorse or promote products derived from this software without specific prior written permission. {_BSD_DISCLAIMER}",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+    "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+    "purpose, commercial or non-commercial, and by any means. " + _NO_WARRANTY,
+    "Zlib": "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable "
+    "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+    "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+    "restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+    "software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is "
+    "not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the "
+    "original software. 3. This notice may not be removed or altered from any source distribution.",
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance "
+    "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
+    "applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT "
+    "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+    "permissions and limitations under the License.",
+}
+
 #: A block is scanned if it says one of these.
 CANDIDATE = re.compile(
     r"licen[cs]|spdx|rights\s+reserved|permission\s+(?:is\s+hereby|to\s+use)|redistribut|unencumbered"
-    r"|public\s+domain|creative\s+commons|copyleft|\bGPL|\bCC[\s-](?:BY|0)|\bCC0\b",
+    r"|without\s+any\s+express|public\s+domain|creative\s+commons|copyleft|\bGPL|\bCC[\s-](?:BY|0)|\bCC0\b",
     re.I,
 )
-_HINT = ("icen", "ICEN", "pdx", "PDX", "ights", "IGHTS", "ermission", "ERMISSION", "edistrib", "EDISTRIB", "ncumber", "NCUMBER",
+_HINT = ("icen", "ICEN", "pdx", "PDX", "ights", "IGHTS", "ermission", "ERMISSION", "edistrib", "EDISTRIB", "ncumber", "NCUMBER", "xpress", "XPRESS",
          "ublic", "UBLIC", "ommons", "OMMONS", "opyleft", "OPYLEFT", "GPL", "gpl", "CC", "cc ", "cc-", "cc0",
          "cc\n", "cc\r", "cc\t")
 #: A word; after a hyphen it may go on in the next line, behind indents and comment marks.
@@ -113,51 +177,68 @@ def _words(text: str) -> list[str]:
     return [_BREAK.sub("", w).lower() for w in WORD.findall(text)]
 
 
+#: A paragraph that follows a notice belongs to it if the license's dictionary takes so much off it.
+CONTINUES = 0.4
+#: What denies the words after it.
+DENIALS = frozenset("not never nor no isn wasn aren".split())
+
+
 class Templates:
     """The wordings with their dictionaries, ready to scan; built once per task."""
 
-    def __init__(self, wordings: dict[str, tuple[str, ...]] = WORDINGS) -> None:
-        self.wordings = {}
-        self.with_dict = {}
+    def __init__(self, wordings: dict[str, tuple[str, ...]] = WORDINGS, full_texts: dict[str, str] = FULL_TEXTS) -> None:
+        self.wordings, self.with_dict = {}, {}
+        self.full = {name: _words(text) for name, text in full_texts.items()}
         for name, texts in wordings.items():
             self.wordings[name] = [
                 (_words(t.replace("{", " ").replace("}", " ")), {x.lower() for x in re.findall(r"\{([^}]*)\}", t)}) for t in texts
             ]
+            texts = [full_texts.get(name, ""), *texts]
             raw = "\n".join(t.replace("{", "").replace("}", "") for t in texts).encode()
             held = zstandard.ZstdCompressionDict(raw.ljust(8, b"\n"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.with_dict[name] = zstandard.ZstdCompressor(level=3, dict_data=held, write_content_size=False)
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
 
     def rank(self, block: str) -> list[tuple[int, str]]:
-        """(bytes saved in the piece that saves most, license), most saved first; ties by name."""
+        """(bytes saved in the piece that saves most, license) most saved first; ties by name."""
         saved: dict[str, int] = {}
         for at in range(0, max(1, len(block) - (PIECE - STEP)), STEP):
             raw = block[at : at + PIECE].encode("utf-8", "surrogatepass")
             alone = len(self.plain.compress(raw))
             for n, c in self.with_dict.items():
                 gain = alone - len(c.compress(raw))
-                if n not in saved or gain > saved[n]:
-                    saved[n] = gain
+                saved[n] = max(gain, saved.get(n, gain))
         return sorted(((gain, n) for n, gain in saved.items()), key=lambda x: (-x[0], x[1]))
 
-    def confirm(self, name: str, block_words: list[str], places: dict[str, list[int]] | None = None) -> int | None:
-        """The fewest words by which the block differs from a wording of ``name``; None: too many.
+    def continues(self, name: str, paragraph: str) -> bool:
+        """Whether the license's text explains the paragraph."""
+        raw = paragraph.encode("utf-8", "surrogatepass")
+        alone = len(self.plain.compress(raw))
+        return alone - len(self.with_dict[name].compress(raw)) >= CONTINUES * alone
+
+    def confirm(self, name: str, block_words: list[str], places: dict[str, list[int]] | None = None) -> tuple[int, int] | None:
+        """The fewest words by which the block differs from a wording of ``name``, and that wording's number; None: too many.
 
         Differences are counted in the stretch of words that agree which has the fewest; a
-        wording's words outside that stretch count as missing.  ``places`` are the positions
-        of each word of the block.
+        wording's words outside that stretch count as missing.  A stretch right behind a
+        denial doesn't count.  ``places`` are the positions of each word of the block.  Of
+        wordings with equally few differences the longest is taken.
         """
         places, best = word_places(block_words) if places is None else places, None
-        for wording, marks in self.wordings[name]:
+        for number, (wording, marks) in enumerate(self.wordings[name]):
             if not all(m in places for m in marks):
                 continue
             for lo, hi in _windows(wording, marks, len(block_words), places):
-                differ = _differ(wording, marks, block_words[lo:hi])
-                if differ is not None and differ <= MOST_DIFFERENCES * len(wording) and (best is None or differ < best):
-                    best = differ
-                if best == 0:
-                    return best
-        return best
+                differ = _differ(wording, marks, block_words, lo, hi)
+                if differ is not None and differ <= MOST_DIFFERENCES * len(wording):
+                    rank = (differ, -len(wording), number)
+                    best = rank if best is None or rank < best else best
+        return best and (best[0], best[2])
+
+    def covers(self, outer: str, name: str, number: int) -> bool:
+        """Whether the text of ``outer`` holds every word of a wording of ``name`` in a row."""
+        x, y = self.full.get(outer, []), self.wordings[name][number][0]
+        return outer != name and len(y) < len(x) and any(x[i : i + len(y)] == y for i in range(len(x) - len(y) + 1))
 
 
 def word_places(words: list[str]) -> dict[str, list[int]]:
@@ -185,13 +266,17 @@ def _windows(wording: list[str], marks: set[str], n: int, places: dict[str, list
             yield max(0, at - offsets[-1] - slack), at + size - offsets[0] + slack
 
 
-def _differ(wording: list[str], marks: set[str], words: list[str]) -> int | None:
-    """The fewest words that differ over the stretches that hold all marks."""
+def _differ(wording: list[str], marks: set[str], block: list[str], lo: int, hi: int) -> int | None:
+    """The fewest words that differ over the stretches of ``block[lo:hi]`` that hold all marks and aren't denied."""
+    words = block[lo:hi]
     if not marks <= set(words):
         return None
     equal = [o for o in SequenceMatcher(None, wording, words, autojunk=False).get_matching_blocks() if o.size]
     best = None
     for i in range(len(equal)):
+        first = lo + equal[i].b
+        if DENIALS & set(block[max(0, first - 2) : first]):
+            continue
         agree, kept = 0, set()
         for last in equal[i:]:
             agree += last.size
@@ -202,33 +287,54 @@ def _differ(wording: list[str], marks: set[str], words: list[str]) -> int | None
     return best
 
 
-def blocks(text: str) -> Iterator[tuple[int, int]]:
-    """(start, end) of candidate blocks: paragraphs, runs of lines up to blank ones, that speak of licensing."""
+def paragraphs(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, speaks of licensing) of the paragraphs, runs of lines up to blank ones."""
     if not any(h in text for h in _HINT):
-        return
-    at, start, end = 0, None, 0
+        return []
+    out, at, start, end = [], 0, None, 0
     for line in [*text.split("\n"), ""]:
         if line and not line.isspace():
             start = at if start is None else start
             end = at + len(line)
         elif start is not None:
-            if CANDIDATE.search(text, start, end):
-                yield start, end
+            out.append((start, end, CANDIDATE.search(text, start, end) is not None))
             start = None
         at += len(line) + 1
+    return out
+
+
+def _confirmed(block: str, templates: Templates) -> list[tuple[str, int, int, int]]:
+    """(license, bytes saved, words that differ, wording) of a block, most saved first."""
+    ws = _words(block)
+    places = word_places(ws)
+    found = []
+    for saved, name in templates.rank(block):
+        if best := templates.confirm(name, ws, places):
+            found.append((name, saved, *best))
+    return [x for x in found if not any(templates.covers(y[0], x[0], x[3]) for y in found)]
 
 
 def find_licenses(text: str | None, templates: Templates) -> list[tuple[str, int, int, int, int]]:
-    """(license, start, end, bytes saved, words that differ) by block, in order; a license once a block."""
-    out = []
-    for s, e in blocks(text) if text else ():
-        block = text[s:e]
-        ws = _words(block)
-        places = word_places(ws)
-        for saved, name in templates.rank(block):
-            differ = templates.confirm(name, ws, places)
-            if differ is not None:
-                out.append((name, s, e, saved, differ))
+    """(license, start, end, bytes saved, words that differ) by block, in order; a license once a block.
+
+    A block is a paragraph that speaks of licensing, with the paragraphs after it that the
+    text of its best license explains and that hold no license of their own.  A license whose
+    wording is part of another confirmed license's text belongs to that license.
+    """
+    found = paragraphs(text) if text else []
+    out, at = [], 0
+    while at < len(found):
+        start, end, speaks = found[at]
+        at += 1
+        if not speaks:
+            continue
+        ranking = templates.rank(text[start:end])
+        while at < len(found) and ranking and templates.continues(ranking[0][1], text[found[at][0] : found[at][1]]):
+            if found[at][2] and _confirmed(text[found[at][0] : found[at][1]], templates):
+                break
+            end = found[at][1]
+            at += 1
+        out += [(name, start, end, saved, differ) for name, saved, differ, _ in _confirmed(text[start:end], templates)]
     return out
 
 
