@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import textwrap
@@ -445,8 +446,79 @@ def test_several_credentials_without_white_space():
     assert find("&".join([f"pwd={b}"] * 2_000)) == [b] * 2_000
 
 
+def exhaustive_cost(value, ranks):
+    """The cheapest of all segmentations, each segment priced from its definition."""
+    leet = str.maketrans("@4301$5!7", "aaeoissit")
+    rows_ = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
+    at = {c: (r, i) for r, row in enumerate(rows_) for i, c in enumerate(row)}
+    unshift = dict(zip('~!@#$%^&*()_+{}|:"<>?', "`1234567890-=[]\\;',./", strict=True))
+    key = lambda c: at.get(unshift.get(c, c.lower()))
+    near = lambda a, b: key(a) and key(b) and abs(key(a)[0] - key(b)[0]) + abs(key(a)[1] - key(b)[1]) == 1
+    step = lambda a, b: (a + b).isascii() and a.isalnum() and b.isalnum() and abs(ord(a) - ord(b)) == 1
+    size_of = lambda c: 10 if c.isdigit() else 26 if c.isascii() and c.isalpha() else 33 if c.isascii() else 100
+
+    def segment(i, j):
+        part, out = value[i:j], []
+        if j - i == 1:
+            out.append(size_of(part) * (1.5 if part.isupper() else 1))
+        for form in (part.lower(), part.lower().translate(leet)):
+            if form in ranks and j - i >= 2:
+                out.append(2 * ranks[form] * (1 if part in ranks else 2))
+                break
+        if (m := secrets.DATE.match(value, i)) and m.end() == j:
+            out.append(2 * 36500)
+        for follows, guesses in ((str.__eq__, 95), (near, 94), (step, 62)):
+            if j - i >= 3 and all(follows(value[k], value[k + 1]) for k in range(i, j - 1)):
+                if j - i == 3 or j == len(value) or not follows(value[j - 1], value[j]):
+                    out.append(2 * guesses * (j - i))
+        for block in range(2, 9):
+            if (j - i) % block == 0 and j - i >= 2 * block and part == part[:block] * ((j - i) // block) and not value[j:].startswith(part[:block]):
+                out.append(2 * math.prod(map(size_of, part[:block])) * (j - i) / block)
+        return min(out, default=math.inf)
+
+    def best(i):
+        return 1 if i == len(value) else min(segment(i, j) * best(j) for j in range(i + 1, len(value) + 1))
+
+    return math.log10(best(0))
+
+
+def test_guess_cost_is_the_cheapest_segmentation():
+    rng = random.Random(6)
+    ranks = {"pass": 3, "word": 9, "password": 1, "ord": 40, "horse": 200, "se": 12}
+    parts = ["pass", "word", "P4ss", "horse", "a", "Z", "7", "#", "é", "aaa", "qwe", "abc", "xyxy", "1999", "121212", "se", "$e"]
+    for _ in range(150):
+        value = "".join(rng.choices(parts, k=rng.randint(1, 4)))[:11]
+        assert secrets.guess_cost(value, ranks) == pytest.approx(exhaustive_cost(value, ranks)), value
+
+
+def test_secrets_against_planted_values():
+    """Values put into prose in every way that names a credential, against their places."""
+    rng, ranks = random.Random(8), secrets.RANK | {"correct": 300, "horse": 301}
+    alphabet = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"
+    for _ in range(200):
+        out, want, at = [], [], 0
+        for _ in range(rng.randint(1, 4)):
+            value = "".join(rng.choices(alphabet, k=rng.randint(14, 30)))
+            name = rng.choice(["pwd", "passphrase", "private_key", "access-key", "credentials", "bearer"])
+            before = rng.choice(["see ", "the\n", "a, "]) + name + rng.choice([": ", "=", " => "])
+            kind = rng.choice(["guess", "none", "assign"])
+            if kind == "none":
+                value = rng.choice(["correcthorse", "password1", "aaaaaaaaaa", "qwertyuiop"])
+            if kind == "assign":
+                before = "x api_key="
+                want.append(("assign", at + 2, at + len(before) + len(value)))
+            if kind == "guess":
+                want.append(("guess", at + len(before), at + len(before) + len(value)))
+            out += [before, value, "\n"]
+            at += len(before) + len(value) + 1
+        assert secrets.find_secrets("".join(out), ranks=ranks) == want, "".join(out)
+
+
 def test_secret_cases(spark):
     data = [*rows(), (60, "api-key: Zk8#pQ2!mT5x secret=abcdef", None, "s", 1, "", "", "", "")]
     got = secrets.scan_secrets(frame(spark, data)).collect()
-    assert sorted(((r.doc_id, [tuple(x) for x in r.found]) for r in got), key=str) == sorted(((r[0], secrets.find_secrets(r[1])) for r in data), key=str)
+    ranks = secrets.word_ranks(frame(spark, data))
+    counts = Counter(w for r in data for w in re.findall(r"[^\W\d_]+", (r[1] or "").lower()) if 3 <= len(w) <= 20 and w not in secrets.RANK)
+    assert list(ranks)[len(secrets.RANK) :] == sorted(counts, key=lambda w: (-counts[w], w))
+    assert sorted(((r.doc_id, [tuple(x) for x in r.found]) for r in got), key=str) == sorted(((r[0], secrets.find_secrets(r[1], ranks=ranks)) for r in data), key=str)
     assert secrets.scan_secrets(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -54,7 +54,10 @@ COMMON = (
     "man new now old see two way who boy did its let put say she too use time year people"
 ).split()
 RANK = {w: i + 1 for i, w in reversed(list(enumerate(COMMON)))}
-LONGEST_WORD = max(map(len, COMMON))
+#: Words that :func:`word_ranks` takes from the documents at most.
+RANKED_WORDS = 20_000
+#: Lengths of the words that are counted.
+WORD_LENGTHS = (3, 20)
 
 #: Keyboard rows (fixed values); a walk moves along a row, or up and down a column.
 KEYBOARD = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
@@ -81,10 +84,10 @@ def _charset(c: str) -> float:
     return math.log10(33) if c.isascii() else 2.0
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, ranks: dict[str, int] = RANK) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` needs.
 
-    Segments are words (rank, times 2 for capitals or substitutions), dates (36,500 days),
+    Segments are words (their rank in ``ranks``, times 2 for capitals or substitutions), dates (36,500 days),
     repeats of one character or of a block, keyboard walks and sequences, and single
     characters tried by brute force.  Every segment costs a factor 2 more than its guesses,
     for not knowing where it ends.  Linear in the length, as segments are words, dates, runs
@@ -104,10 +107,10 @@ def guess_cost(value: str) -> float:
     for i in range(n):
         here = best[i]
         best[i + 1] = min(best[i + 1], here + _charset(value[i]) + (math.log10(1.5) if value[i].isupper() else 0.0))
-        for size in range(2, min(LONGEST_WORD, n - i) + 1):
-            rank = RANK.get(low[i : i + size]) or RANK.get(plain[i : i + size])
+        for size in range(2, min(WORD_LENGTHS[1], n - i) + 1):
+            rank = ranks.get(low[i : i + size]) or ranks.get(plain[i : i + size])
             if rank:
-                odd = 2 if value[i : i + size] not in RANK else 1
+                odd = 2 if value[i : i + size] not in ranks else 1
                 best[i + size] = min(best[i + size], here + math.log10(rank * odd) + link)
         m = DATE.match(value, i)
         if m:
@@ -148,7 +151,7 @@ def _again(value: str, block: int) -> list[int]:
     return out
 
 
-def find_secrets(text: str | None, min_guesses: float = MIN_GUESSES) -> list[tuple[str, int, int]]:
+def find_secrets(text: str | None, min_guesses: float = MIN_GUESSES, ranks: dict[str, int] = RANK) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all secrets, code points, end exclusive, in listing order.
 
     Base kinds are leftmost and non-overlapping each; ``guess`` spans are values in credential
@@ -177,7 +180,7 @@ def find_secrets(text: str | None, min_guesses: float = MIN_GUESSES) -> list[tup
             at = start + len(value)
             if m["prose"] and not quote and value.isalpha():
                 continue  # "is" before a bare word is prose
-            if len(value) >= 6 and (start, at) not in bare and guess_cost(value) >= min_guesses:
+            if len(value) >= 6 and (start, at) not in bare and guess_cost(value, ranks) >= min_guesses:
                 out.append(("guess", start, at))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
@@ -186,15 +189,34 @@ def find_secrets(text: str | None, min_guesses: float = MIN_GUESSES) -> list[tup
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
 
+def word_ranks(docs: DataFrame, text_col: str = "text", most: int = RANKED_WORDS) -> dict[str, int]:
+    """Ranks of words: the common passwords first, then the ``most`` most frequent words of all documents.
+
+    Words are runs of letters in lower case, of any language, with ``WORD_LENGTHS`` characters;
+    ties go to the smaller word.  Counts are combined before the shuffle and only the ``most``
+    winners reach the driver.
+    """
+    words = docs.select(F.explode(F.split(F.lower(text_col), r"[^\p{L}]+")).alias("word"))
+    words = words.where(F.length("word").between(*WORD_LENGTHS))
+    top = words.groupBy("word").count().orderBy(F.col("count").desc(), "word").limit(most).collect()
+    ranks = dict(RANK)
+    for r in top:
+        ranks.setdefault(r["word"], len(ranks) + 1)
+    return ranks
+
+
 def scan_secrets(
-    docs: DataFrame, min_guesses: float = MIN_GUESSES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, min_guesses: float = MIN_GUESSES, id_col: str = "doc_id", text_col: str = "text", ranks: dict[str, int] | None = None
 ) -> DataFrame:
     """One row per input row: doc_id and ``found``, an array of (kind, start, end).
 
+    Values are priced with ``ranks``, by default the words of these documents.
+
     Null and empty texts have none; whole texts are searched, of any length.  Other columns
     are ignored; repeated rows give repeated results.
     """
     small_batches(docs.sparkSession)
+    ranks = word_ranks(docs, text_col) if ranks is None else ranks
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
 
@@ -202,7 +224,7 @@ def scan_secrets(
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             found = [
-                [{"kind": k, "start": s, "end": e} for k, s, e in find_secrets(t, min_guesses)]
+                [{"kind": k, "start": s, "end": e} for k, s, e in find_secrets(t, min_guesses, ranks)]
                 for t in batch.column("text").to_pylist()
             ]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], names=["doc_id", "found"])
@@ -210,12 +232,12 @@ def scan_secrets(
     return source.mapInArrow(run, f"doc_id {id_type}, found array<struct<kind:string,start:int,end:int>>")
 
 
-def redact_secrets(text: str | None, mask: str = "[secret]", min_guesses: float = MIN_GUESSES) -> str | None:
+def redact_secrets(text: str | None, mask: str = "[secret]", min_guesses: float = MIN_GUESSES, ranks: dict[str, int] = RANK) -> str | None:
     """The text with every found span replaced; overlapping spans share one mask."""
     if not text:
         return text
     out, at = [], 0
-    for _, s, e in sorted(find_secrets(text, min_guesses), key=lambda x: (x[1], -x[2])):
+    for _, s, e in sorted(find_secrets(text, min_guesses, ranks), key=lambda x: (x[1], -x[2])):
         if s >= at:
             out += [text[at:s], mask]
         at = max(at, e)
