@@ -64,3 +64,13 @@ def test_edges(spark, targets):
     rows = mixing.mix_documents(frame(spark), targets).collect()
     assert len(rows) == len(__import__("tests.llm.cases", fromlist=["rows"]).rows())
     assert all(0 <= r.probability <= 1 for r in rows)
+
+
+def test_topics_and_bounds(spark):
+    words = {"a": "stone river", "b": "river tree"}
+    texts = ["STONE, stone! tree", "river", "the tree-house", "", None, "x" * 50_000, "stones rivers", "tree river stone"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r.topic for r in mixing.keyword_topic(docs, docs["text"], "topic", words).orderBy("doc_id").collect()]
+    assert got == ["a", "a", "b", "general", "general", "general", "general", "a"]
+    with pytest.raises(ValueError, match="cells"):
+        mixing.MixTargets(source={str(i): 1.0 for i in range(60)}, lang={str(i): 1.0 for i in range(60)})

@@ -6,11 +6,14 @@ line ends one backward window.  The smallest line hash of a window is its finger
 equal windows have equal minima, so every repeated run shares a fingerprint, while most
 windows of a corpus fall away because their minimum occurs at one position only.
 
-Windows whose fingerprint is shared are then compared by content.  A match grows forwards
-through the windows that start in it and backwards through those that end in it: each line
-of a repeated run lies in a forward window from the run's start or in a backward window
-that ends at the line, both inside the run, so together they cover the maximal run exactly.
-All occurrences but the first, by document id and line, are deleted.
+Windows whose fingerprint is shared are then compared by content: first by the hashes of their
+lines, then by the SHA-256 of their text.  A match grows forwards through the windows that start
+in it and backwards through those that end in it: each line of a repeated run lies in a forward
+window from the run's start or in a backward window that ends at the line, both inside the run,
+so together they cover the maximal run exactly.  Growing each pair of positions by itself would
+make the pairs of a fingerprint, the square of its occurrences; windows of equal content meet in
+one group whose rows are combined before the shuffle.  All occurrences but the first, by document
+id and line, are deleted.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weftline.llm.common import fresh
-from weftline.plans.runtime import bounded_broadcast, materialize
+from weftline.plans.runtime import Scratch, bounded_broadcast
 
 WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["doc_id", "tkey"]
@@ -92,21 +95,47 @@ def repeated_lines(
 
     Lines count from 0.  ``tkey`` is ``xxhash64`` of the text.
     """
-    windows = materialize(_windows(_documents(docs, id_col, text_col), min_words), "line-windows")
-    # Fingerprints that windows of different content or place share.  Equal windows in one
-    # place are one row; overlapping windows of a document may share a minimum, which only
-    # lets them through to the comparison of contents.
-    shared = windows.groupBy("fh", "fg").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fh", "fg")
-    candidates = windows.join(shared, ["fh", "fg"], "left_semi")
-    place = F.struct("doc_id", "tkey", "start", "end")
-    first = (
-        candidates.groupBy("ch", "cg")
-        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .drop("n")
-    )
-    later = candidates.join(first, ["ch", "cg"]).where(~place.eqNullSafe(F.col("first")))
-    return later.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
+    with Scratch(docs.sparkSession) as scratch:
+        windows = scratch.write(_windows(_documents(docs, id_col, text_col), min_words), "line-windows")
+        # Fingerprints that windows of different content or place share.  Equal windows in one
+        # place are one row; overlapping windows of a document may share a minimum, which only
+        # lets them through to the comparison of contents.
+        shared = windows.groupBy("fh", "fg").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fh", "fg")
+        shared = bounded_broadcast(scratch.write(shared, "fingerprints"), 40)
+        candidates = scratch.write(windows.join(shared, ["fh", "fg"], "left_semi").drop("fh", "fg"), "candidates")
+        alike = candidates.groupBy("ch", "cg").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("ch", "cg")
+        alike = bounded_broadcast(scratch.write(alike, "contents"), 40)
+        repeated = candidates.join(alike, ["ch", "cg"], "left_semi").groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
+        repeated = scratch.write(repeated, "repeated")
+        digests = scratch.write(_digests(docs, repeated, id_col, text_col), "digests")
+        first = digests.groupBy("digest").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        later = digests.join(first, "digest").where(~F.struct(*PLACE).eqNullSafe(F.col("first")))
+        ranges = later.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
+        return scratch.write(ranges, "line-ranges", keep=True)
+
+
+PLACE = (*KEY, "start", "end")
+
+
+def _digests(docs: DataFrame, repeated: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, tkey, start, end and ``digest``, the SHA-256 of the window's lines with words.
+
+    Windows whose hashes agree are compared by this digest of their text.
+    """
+    size = F.size("ranges") * 8 + 64
+    both = _with_ranges(docs, bounded_broadcast(repeated, size), id_col, text_col)
+    # Lines without words become null and array_join skips them.
+    line = F.transform(F.split(text_col, "\n", -1), lambda x: F.when(x.rlike(WORD), x))
+    both = both.select("doc_id", "tkey", line.alias("lines"), "ranges").dropDuplicates(KEY)
+    text = lambda r: F.array_join(F.slice(F.col("lines"), r["start"] + 1, r["end"] - r["start"] + 1), "\n")
+    windows = F.transform("ranges", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), F.sha2(text(r), 256).alias("digest")))
+    return both.select(*KEY, F.explode(windows).alias("w")).select(*KEY, "w.*")
+
+
+def _with_ranges(docs: DataFrame, ranges: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, tkey, the text and the ranges of the documents that have some."""
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col)).where(F.col(text_col).isNotNull())
+    return source.join(ranges, source["id"].eqNullSafe(ranges["doc_id"]) & (F.xxhash64(text_col) == ranges["tkey"]))
 
 
 def drop_repeated_lines(
@@ -120,7 +149,7 @@ def drop_repeated_lines(
     and are cleaned alike.  Null ids come first in
     the order of documents.
     """
-    ranges = materialize(repeated_lines(docs, min_words, id_col, text_col), "line-ranges")
+    ranges = repeated_lines(docs, min_words, id_col, text_col)
     deleted = F.flatten(F.transform("ranges", lambda r: F.sequence(r["start"], r["end"])))
     doc, hashed, gone = fresh(docs, "id"), fresh(docs, "tkey"), fresh(docs, "gone")
     edits = ranges.select(

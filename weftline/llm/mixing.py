@@ -13,10 +13,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import fresh
+from weftline.llm.common import ascii_lower, fresh
+from weftline.plans.runtime import materialize
 
 #: Stands for every category that a target doesn't name.
 REST = "*"
+#: Cells that targets may make: they meet in one row, and their rates go to every executor.
+MOST_CELLS = 2000
 
 
 @dataclass(frozen=True)
@@ -34,20 +37,48 @@ class MixTargets:
     keep: float = 0.5
     seed: str = "mix"
 
+    def __post_init__(self) -> None:
+        if self.cells() > MOST_CELLS:
+            raise ValueError(f"targets make {self.cells()} cells, more than {MOST_CELLS}")
+
     def cells(self) -> int:
         """The most cells there can be: it depends on the targets alone, not on the data."""
         return (len(self.source) + 1) * (len(self.lang) + 1) * (len(self.topic) + 1)
 
 
-def text_form(text: Column) -> Column:
-    """A coarse topic from the whole text: ``table``, ``figures``, ``list`` or ``prose``."""
-    n = F.greatest(F.length(text), F.lit(1))
-    return (
-        F.when(F.regexp_count(text, F.lit(r"\|")) * 40 > n, "table")
-        .when(F.regexp_count(text, F.lit("[0-9]")) * 20 > n, "figures")
-        .when(F.regexp_count(text, F.lit("\n")) * 100 > n, "list")
-        .otherwise("prose")
-    )
+#: Subject words of each topic, ASCII, in four languages (a parameter of :func:`keyword_topic`).
+TOPIC_WORDS: dict[str, str] = {
+    "computing": "software server database password token api code program algorithm network browser file http https www html "
+    "logiciel serveur fichier rechner datei programm passwort servidor archivo programa contrasena",
+    "law": "license licensed licence rights court judge contract copyright statute liability plaintiff lawyer permission "
+    "droit tribunal contrat gericht vertrag gesetz recht derecho contrato ley juez",
+    "science": "experiment theory molecule energy physics biology chemistry species laboratory hypothesis equation "
+    "energie theorie versuch teilchen espece energia teoria experimento especie",
+    "health": "patient doctor hospital disease treatment symptom therapy medicine clinical vaccine "
+    "malade medecin maladie arzt krankheit krankenhaus medico enfermedad tratamiento",
+    "business": "market company price profit bank investor revenue payment invoice account "
+    "entreprise marche banque unternehmen preis konto empresa mercado precio banco cuenta",
+    "sport": "match player coach goal season championship tournament score league stadium "
+    "joueur equipe saison spieler mannschaft trainer jugador equipo temporada partido",
+}
+GENERAL = "general"
+
+
+def keyword_topic(df: DataFrame, text: Column, into: str, words: dict[str, str] | None = None) -> DataFrame:
+    """``df`` with the topic of a text in column ``into``: that with the most different subject words.
+
+    Words are runs of a-z after A-Z is lower-cased; ties go to the topic named first, a text
+    with none is ``general``.  The text is split once.
+    """
+    table = {k: v.split() for k, v in (TOPIC_WORDS if words is None else words).items()}
+    known = F.array(*[F.lit(w) for w in sorted({w for ws in table.values() for w in ws})])
+    hits = lambda ws: F.size(F.array_intersect(into, F.array(*[F.lit(w) for w in ws])))
+    df = df.withColumn(into, F.array_intersect(F.split(ascii_lower(F.coalesce(text, F.lit(""))), "[^a-z]+"), known))
+    most = F.array_max(F.array(F.lit(0), *[hits(ws) for ws in table.values()]))
+    topic = F.when(F.size(into) == 0, GENERAL)
+    for name, ws in table.items():
+        topic = topic.when(hits(ws) == most, name)
+    return df.withColumn(into, topic)
 
 
 def word_count(text: Column) -> Column:
@@ -122,33 +153,41 @@ def sampling_rates(cells: DataFrame, targets: MixTargets) -> DataFrame:
     )
 
 
-def _keyed(docs: DataFrame, targets: MixTargets, topic: Column | None, names: dict[str, str]) -> dict[str, Column]:
+def _tagged(docs: DataFrame, targets: MixTargets, topic: Column | None, names: dict[str, str], own: dict[str, str]) -> DataFrame:
+    """``docs`` with the cell and the token count of each row, in the columns that ``own`` names."""
     text = F.col(names.get("text_col", "text"))
-    return {
-        "source": _named(F.col(names.get("source_col", "source")), targets.source),
-        "lang": _named(F.col(names.get("lang_col", "lang")), targets.lang),
-        "topic": _named(text_form(text) if topic is None else topic, targets.topic),
-    }
+    out = docs.withColumn(own["topic"], topic) if topic is not None else keyword_topic(docs, text, own["topic"])
+    return out.withColumns({
+        own["source"]: _named(F.col(names.get("source_col", "source")), targets.source),
+        own["lang"]: _named(F.col(names.get("lang_col", "lang")), targets.lang),
+        own["topic"]: _named(F.col(own["topic"]), targets.topic),
+        own["n_tokens"]: word_count(text),
+    })
+
+
+DIMENSIONS = ("source", "lang", "topic")
 
 
 def mix_documents(docs: DataFrame, targets: MixTargets, topic: Column | None = None, **names: str) -> DataFrame:
     """One row per input row: doc_id, source, lang, topic, n_tokens, probability, kept.
 
-    ``names`` may set id_col, text_col, source_col and lang_col.  The draw is a hash of seed
-    and id, the same in every run; rows that repeat an id share its draw.  A null source,
-    language or topic falls under the rest.  Null and empty texts have no tokens, they are
-    drawn at their cell's rate.  An empty table gives an empty result.
+    ``topic`` is the subject by keywords where it isn't given.  ``names`` may set id_col,
+    text_col, source_col and lang_col.  The draw is a hash of seed and id, the same in every
+    run; rows that repeat an id share its draw.  A null source, language or topic falls under
+    the rest.  Null and empty texts have no tokens, they are drawn at their cell's rate.  An
+    empty table gives an empty result.  Texts are read once: ids, cells and counts are written
+    to the shared folder.
     """
-    rows = docs.select(
-        F.col(names.get("id_col", "doc_id")).alias("doc_id"),
-        word_count(F.col(names.get("text_col", "text"))).alias("n_tokens"),
-        *[v.alias(k) for k, v in _keyed(docs, targets, topic, names).items()],
+    own = {k: fresh(docs, k) for k in (*DIMENSIONS, "n_tokens")}
+    rows = _tagged(docs, targets, topic, names, own).select(
+        F.col(names.get("id_col", "doc_id")).alias("doc_id"), *[F.col(v).alias(k) for k, v in own.items()]
     )
-    cells = rows.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens"))
-    # At most targets.cells() rows, whatever the input.
-    out = rows.join(F.broadcast(sampling_rates(cells, targets)), ["source", "lang", "topic"], "left")
+    rows = materialize(rows, "mix-rows")
+    cells = rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
+    # At most MOST_CELLS rows, whatever the input.
+    out = rows.join(F.broadcast(sampling_rates(cells, targets)), [*DIMENSIONS], "left")
     return out.select(
-        "doc_id", "source", "lang", "topic", "n_tokens", "probability",
+        "doc_id", *DIMENSIONS, "n_tokens", "probability",
         (uniform(F.col("doc_id"), targets.seed) < F.col("probability")).alias("kept"),
     )
 
@@ -161,17 +200,14 @@ def uniform(key: Column, seed: str) -> Column:
 
 def sample_mix(docs: DataFrame, targets: MixTargets, topic: Column | None = None, **names: str) -> DataFrame:
     """The rows of ``docs`` that the mix keeps, with all their columns and ``mix_probability``."""
-    keys = _keyed(docs, targets, topic, names)
-    own = {k: fresh(docs, k) for k in keys}
-    tagged = docs.withColumns({own[k]: v for k, v in keys.items()})
-    cells = tagged.groupBy([F.col(own[k]).alias(k) for k in keys]).agg(
-        F.sum(word_count(F.col(names.get("text_col", "text")))).alias("tokens")
-    )
+    own = {k: fresh(docs, k) for k in (*DIMENSIONS, "n_tokens")}
+    tagged = materialize(_tagged(docs, targets, topic, names, own), "mix-documents")
+    cells = tagged.groupBy([F.col(own[k]).alias(k) for k in DIMENSIONS]).agg(F.sum(own["n_tokens"]).alias("tokens"))
     rates = sampling_rates(cells, targets).select(
-        *[F.col(k).alias(own[k]) for k in keys], F.col("probability").alias("mix_probability")
+        *[F.col(k).alias(own[k]) for k in DIMENSIONS], F.col("probability").alias("mix_probability")
     )
     return (
-        tagged.join(F.broadcast(rates), list(own.values()))
+        tagged.join(F.broadcast(rates), [own[k] for k in DIMENSIONS])
         .where(uniform(F.col(names.get("id_col", "doc_id")), targets.seed) < F.col("mix_probability"))
         .drop(*own.values())
     )

@@ -27,7 +27,7 @@ QUALITY_THRESHOLD = 0.3
 TARGETS = mixing.MixTargets(
     source={"src0": 0.25, mixing.REST: 0.75},
     lang={"en": 0.55, "fr": 0.15, "de": 0.15, "es": 0.1, mixing.REST: 0.05},
-    topic={"prose": 0.9, "list": 0.06, mixing.REST: 0.04},
+    topic={"computing": 0.04, "law": 0.06, mixing.REST: 0.9},
     keep=0.7,
 )
 
@@ -224,12 +224,16 @@ def mixing_sql(t: mixing.MixTargets = TARGETS) -> str:
         cases = " ".join(f"WHEN '{k}' THEN {v / sum(targets.values())!r}" for k, v in targets.items())
         return f"CAST(CASE {dim} {cases} ELSE 0 END AS DOUBLE)"
 
-    form = r"""CASE WHEN len(text) - len(replace(text, '|', '')) > len(text) / 40.0 THEN 'table'
-      WHEN len(regexp_replace(text, '[^0-9]', '', 'g')) * 20 > len(text) THEN 'figures'
-      WHEN (len(text) - len(replace(text, chr(10), ''))) * 100 > len(text) THEN 'list' ELSE 'prose' END"""
+    def hits(words: str) -> str:
+        return f"len(list_intersect(ws, [{', '.join(repr(w) for w in words.split())}]))"
+
+    most = f"greatest({', '.join(map(hits, mixing.TOPIC_WORDS.values()))})"
+    cases = " ".join(f"WHEN {hits(words)} = {most} THEN '{name}'" for name, words in mixing.TOPIC_WORDS.items())
+    topic = f"CASE WHEN {most} = 0 THEN '{mixing.GENERAL}' {cases} END"
     parts = [
-        f"""f AS (SELECT doc_id, source, lang, {form} AS topic,
-              len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens FROM documents)""",
+        f"""d AS (SELECT *, regexp_extract_all({_LOWERED}, '[a-z]+') AS ws FROM documents),
+            f AS (SELECT doc_id, source, lang, {topic} AS topic,
+              len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens FROM d)""",
         f"""r AS (SELECT doc_id, {named('source', t.source)} AS source, {named('lang', t.lang)} AS lang,
               {named('topic', t.topic)} AS topic, n_tokens FROM f)""",
         "c0 AS (SELECT source, lang, topic, sum(n_tokens) AS tokens, CAST(sum(n_tokens) AS DOUBLE) AS w FROM r GROUP BY ALL)",
