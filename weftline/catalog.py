@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from weftline.functions import text as T
 from weftline.functions import tokens as K
 from weftline.functions import vectors as V
-from weftline.functions.profiles import LATIN
+from weftline.functions.profiles import LATIN, TIBETAN
 from weftline.functions.translit import ewts
 from weftline.operators import align, embed, enrich, profile, segment, simjoin
 from weftline.plans import pipeline
 from weftline.plans.config import EmbedConfig, PipelineConfig, SegmentConfig
-from weftline.plans.runtime import materialize, read_table
+from weftline.plans.runtime import materialize, read_table, spread
 from weftline.sources import readers
 
 # --- Similarity join ---------------------------------------------------------------------
@@ -96,7 +96,7 @@ def sanitize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", T.clean_foreign(F.col("text"), LATIN).alias("text"))
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", T.clean_foreign(F.col("text"), LATIN).alias("text"))
 
 
 def normalize_spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,16 +137,67 @@ def input_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.input_profile(docs, F.col("text"), {"lang": F.col("lang"), "source": F.col("source")}, LATIN)
 
 
+# --- Tibetan cases -----------------------------------------------------------------------
+# The test tables are Latin; these rows decide every rule of the Tibetan profile.
+
+#: A text and its segments, worked out by hand from the boundary rules.
+TIBETAN_SEGMENTS = (
+    ("ཀ་ཁ༎ག་ང", "ཀ་ཁ༎", "ག་ང"),  # strong boundary
+    ("ཀ་ཁ། ག་ང", "ཀ་ཁ། ག་ང"),  # no rule matches
+    ("ཡིན་ནོ། ཀ་ཁ", "ཡིན་ནོ།", "ཀ་ཁ"),  # terminator
+    ("གྱུར་ཅིག། ཀ", "གྱུར་ཅིག།", "ཀ"),  # optative
+    ("བྱས་ནས། ༡ ཀ", "བྱས་ནས། ༡ ཀ"),  # a gerund blocks a section marker
+    ("ཀ་དང། གལ་ཏེ ཀ", "ཀ་དང། གལ་ཏེ ཀ"),  # a particle blocks a sentence opener
+    ("ཀ་པར། དེ་ནས ཁ", "ཀ་པར། དེ་ནས ཁ"),  # adverbialiser
+    ("ཀ་ནི། དེ་ནས ཁ", "ཀ་ནི། དེ་ནས ཁ"),  # topic marker
+    ("ཇི་ལྟར་སོང་ངོ། ཀ", "ཇི་ལྟར་སོང་ངོ། ཀ"),  # a correlative waits
+    ("ཇི་ལྟར་དེ་ལྟར་སོང་ངོ། ཀ", "ཇི་ལྟར་དེ་ལྟར་སོང་ངོ།", "ཀ"),  # the correlative is complete
+    ("ཀ་ཁ། ༡ ག", "ཀ་ཁ།", "༡ ག"),  # section marker
+    ("ཀ་ཁ། གལ་ཏེ་ག", "ཀ་ཁ།", "གལ་ཏེ་ག"),  # sentence opener
+    ("ཡིན་ནོ་། ཀ", "ཡིན་ནོ་། ཀ"),  # a separator before the delimiter
+    ("abc༎ཀ", "abc༎", "ཀ"),  # the delimiter is script as well
+    ("ཀ༎abc", "ཀ༎"),  # foreign text only
+)
+#: A text, its transliteration, and the text without spaces inside the script.
+TIBETAN_TEXTS = (
+    ("བོད་ཡིག", "bod yig", "བོད་ཡིག"),
+    ("སངས་རྒྱས།", "sangs rgyas/", "སངས་རྒྱས།"),
+    ("བཀྲ་ཤིས་བདེ་ལེགས།", "bkra shis bde legs/", "བཀྲ་ཤིས་བདེ་ལེགས།"),
+    ("abc 12", "abc 12", "abc 12"),
+    ("༡༢", "12", "༡༢"),
+    ("", "", ""),
+)
+
+
+def tibetan_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules engine on hand-made Tibetan texts."""
+    texts = spark.createDataFrame([(i, x[0]) for i, x in enumerate(TIBETAN_SEGMENTS)], "case_id long, text string")
+    rows = segment.exploded(texts.withColumn("atoms", segment.segment_atoms(F.col("text"), TIBETAN)), ["case_id"])
+    return rows.select("case_id", F.col("segment_order").cast("long").alias("segment_order"), "text")
+
+
+def tibetan_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transliteration and removal of spaces on hand-made Tibetan texts."""
+    texts = spark.createDataFrame([(i, x[0]) for i, x in enumerate(TIBETAN_TEXTS)], "case_id long, text string")
+    spaced = F.concat(F.lit("  "), F.col("text"), F.lit(" "))
+    return texts.select("case_id", ewts(F.col("text")).alias("ewts"), T.remove_script_spaces(spaced).alias("closed"))
+
+
+def _values(rows: list[tuple]) -> str:
+    cell = lambda x: str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+    return "VALUES " + ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rows)
+
+
 # --- Segmentation ------------------------------------------------------------------------
 
 
 def _atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.withColumn("atoms", segment.delimiter_atoms(F.col("text"), LATIN))
 
 
 def rule_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return segment.exploded(docs.withColumn("atoms", segment.segment_atoms(F.col("text"), LATIN)), ["doc_id"])
 
 
@@ -155,12 +206,12 @@ def delimiter_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return segment.exploded(docs.withColumn("atoms", segment.segment_atoms(F.col("text"), LATIN, "tokens", 4)), ["doc_id"])
 
 
 def legacy_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return segment.exploded(docs.withColumn("atoms", segment.segment_atoms(F.col("text"), LATIN, "legacy", 4)), ["doc_id"])
 
 
@@ -170,7 +221,7 @@ def syllable_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return segment.exploded(docs.withColumn("atoms", segment.segment_words(F.col("text"), LATIN, 3, 12)), ["doc_id"])
 
 
@@ -190,7 +241,7 @@ def segments_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbouring turns of a conversation as pairs of texts."""
-    turns = read_table(spark, sf_dir, "conversations")
+    turns = spread(read_table(spark, sf_dir, "conversations"))
     a = turns.select("conv_id", F.col("turn").alias("turn_a"), F.col("text").alias("parallel_a"))
     b = turns.select(F.col("conv_id").alias("c"), (F.col("turn") - 1).alias("t"), F.col("text").alias("parallel_b"))
     return a.join(b, (a.conv_id == b.c) & (a.turn_a == b.t)).drop("c", "t")
@@ -245,7 +296,7 @@ SCORING = align.Scoring(min_score=15.0)
 
 def _dense(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     key = {"documents": "doc_id", "benchmark": "item_id"}[table]
-    return align.densify(read_table(spark, sf_dir, table), key, "text", SEEDING)
+    return align.densify(spread(read_table(spark, sf_dir, table).select(key, "text")), key, "text", SEEDING)
 
 
 def dense_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,12 +305,7 @@ def dense_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kmer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K-mers of each document: positions, distinct k-mers and positions left after pruning."""
-    dense = _dense(spark, sf_dir, "documents")
-    counts = align.kmer_positions(dense, SEEDING.k).groupBy("name", "kmer").count()
-    return counts.groupBy("name").agg(
-        F.sum("count").alias("n_positions"), F.count(F.lit(1)).alias("n_kmers"),
-        F.sum(F.when(F.col("count") <= SEEDING.max_kmer_hits, F.col("count")).otherwise(0)).alias("n_kept"),
-    )
+    return align.kmer_profile(_dense(spark, sf_dir, "documents"), SEEDING.k, SEEDING.max_kmer_hits)
 
 
 def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,7 +363,7 @@ def queries() -> dict:
         l2_normalize, cosine_matrix, mean_pooling, sanitize_text, clean_text, normalize_spaces, sanitize_filename, word_features,
         split_parts, transliterated_tokens, transliterate, input_profile, rule_segments, delimiter_segments, token_segments,
         legacy_segments, syllable_segments, word_segments, overlapping_spans, segments_per_document, syllable_distance,
-        token_overlap, mapping_type, lexical_similarity, full_pipeline, dense_text, kmer_counts, seed_pairs, seed_pairs_within,
+        tibetan_segments, tibetan_texts, token_overlap, mapping_type, lexical_similarity, full_pipeline, dense_text, kmer_counts, seed_pairs, seed_pairs_within,
         seed_regions, largest_regions, local_align, waterfall, review_rows, document_records,
     ):
         found[f.__name__] = f
@@ -347,6 +393,10 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT {key}, {_DENSE} AS d FROM {table}) WHERE length(d) >= {k})"""
     pruned = lambda table, key, k: f"""(SELECT name, kmer, pos FROM (SELECT name, kmer, pos, count(*) OVER (PARTITION BY name, kmer) AS c
         FROM (SELECT name, substr(d, CAST(pos + 1 AS BIGINT), {k}) AS kmer, pos FROM {kmers(table, key, k)})) WHERE c <= {SEEDING.max_kmer_hits})"""
+    every = lambda x: f"list_filter(regexp_split_to_array({x}, '[/{_PY_SPACE}]+'), lambda t: t <> '')"
+    share = lambda x, y: f"""(CASE WHEN len(list_distinct(list_concat({x}, {y}))) = 0 THEN 0
+        ELSE len(list_intersect(list_distinct({x}), list_distinct({y}))) / len(list_distinct(list_concat({x}, {y}))) END)"""
+    r = enrich.MappingRules()
     tokens = lambda x: f"list_filter(regexp_split_to_array({x}, '[/{_PY_SPACE}]+'), lambda t: t <> '' AND NOT list_contains({_PARTICLE_LIST}, t))"
     segments = f"WITH {_SEGMENTS_SQL} SELECT doc_id, segment_order, text, start, \"end\", length(text) AS n_chars FROM seg"
     out = {name: _similar_sql(config) for name, config in JOINS.items()}
@@ -406,11 +456,55 @@ def oracle_sql() -> dict[str, str]:
             FROM {pruned('benchmark', 'item_id', SEEDING.k)} a JOIN {pruned('documents', 'doc_id', SEEDING.k)} b ON a.kmer = b.kmer""",
         "seed_pairs_within": f"""SELECT a.name AS file_a, b.name AS file_b, a.pos AS pos_a, b.pos AS pos_b
             FROM {pruned('benchmark', 'item_id', 8)} a JOIN {pruned('benchmark', 'item_id', 8)} b ON a.kmer = b.kmer AND a.name < b.name""",
+        "normalize_spaces": f"SELECT page_id, {_spaces_sql('html')} AS text FROM pages",
+        "tibetan_segments": "SELECT * FROM ("
+        + _values([(i, k, seg) for i, (_, *segs) in enumerate(TIBETAN_SEGMENTS) for k, seg in enumerate(segs, 1)])
+        + ") AS t(case_id, segment_order, text)",
+        "tibetan_texts": f"SELECT * FROM ({_values([(i, x[1], x[2]) for i, x in enumerate(TIBETAN_TEXTS)])}) AS t(case_id, ewts, closed)",
+        "syllable_distance": f"WITH RECURSIVE {_distance_sql(every)} SELECT conv_id, turn_a, d AS wylie_syllable_distance FROM dist",
+        "mapping_type": f"""WITH RECURSIVE {_distance_sql(every)},
+            k AS (SELECT a.conv_id, a.turn AS turn_a, {tokens("coalesce(a.text, '')")} AS a, {tokens("coalesce(b.text, '')")} AS b
+                  FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
+            g AS (SELECT *, list_transform(generate_series(1, len(a) - 1), lambda i: a[i] || ' ' || a[i + 1]) AS ga,
+                  list_transform(generate_series(1, len(b) - 1), lambda i: b[i] || ' ' || b[i + 1]) AS gb FROM k),
+            m AS (SELECT conv_id, turn_a, d, d / greatest(n_a, n_b, 1) AS rel, {share('a', 'b')} AS uni, {share('ga', 'gb')} AS bi
+                  FROM g JOIN dist USING (conv_id, turn_a)),
+            l AS (SELECT *, uni >= {r.overlap_textual} OR rel <= {r.distance_textual} OR bi >= {r.bigram_textual} AS alike,
+                  uni <= {r.overlap_semantic} AND rel >= {r.distance_semantic} AND bi <= {r.bigram_semantic} AS apart FROM m)
+            SELECT conv_id, turn_a, d AS wylie_syllable_distance,
+              CASE WHEN alike AND NOT apart THEN 'textual' WHEN apart AND NOT alike THEN 'semantic' ELSE 'uncertain' END AS mapping_type FROM l""",
         "document_records": "SELECT text, CAST(doc_id AS VARCHAR) AS file_id FROM documents",
     }
     return out
 
 
+def _spaces_sql(x: str) -> str:
+    """Spaces inside Tibetan, before its punctuation, and around ``_`` and ``/``."""
+    x = f"regexp_replace({x}, '([\\x{{0F00}}-\\x{{0FFF}}])[{_PY_SPACE}]+([\\x{{0F00}}-\\x{{0FFF}}])', '\\1\\2', 'g')"
+    for mark in ("་", "།", "༎", "༔"):
+        x = f"regexp_replace({x}, '[{_PY_SPACE}]+{mark}', '{mark}', 'g')"
+    x = _strip_sql(f"regexp_replace({x}, '  +', ' ', 'g')")
+    for mark in ("_", "/"):
+        x = f"regexp_replace({x}, '[{_PY_SPACE}]*{mark}[{_PY_SPACE}]*', '{mark}', 'g')"
+    return _strip_sql(f"regexp_replace({x}, '  +', ' ', 'g')")
+
+
+def _distance_sql(tokens) -> str:
+    """``dist``: conv_id, turn_a, n_a, n_b and d, the edit distance of neighbouring turns in tokens, a row of the table at a time.
+
+    A cell is the least over the cells to its left of that cell without insertions plus the way to it.
+    """
+    return f"""
+t AS (SELECT a.conv_id, a.turn AS turn_a, {tokens("coalesce(a.text, '')")} AS a, {tokens("coalesce(b.text, '')")} AS b
+      FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
+lev AS (SELECT conv_id, turn_a, a, b, CAST(0 AS BIGINT) AS i, CAST(range(0, len(b) + 1) AS BIGINT[]) AS r FROM t
+  UNION ALL
+  SELECT conv_id, turn_a, a, b, i + 1, list_transform(c, lambda x, j: j - 1 + list_min(list_transform(c[1:j], lambda y, k: y - (k - 1))))
+  FROM (SELECT *, list_transform(range(1, len(b) + 2), lambda k: CASE WHEN k = 1 THEN i + 1
+          ELSE least(r[k] + 1, r[k - 1] + CASE WHEN a[i + 1] = b[k - 1] THEN 0 ELSE 1 END) END) AS c FROM lev WHERE i < len(a))),
+dist AS (SELECT conv_id, turn_a, len(a) AS n_a, len(b) AS n_b, r[len(b) + 1] AS d FROM lev WHERE i = len(a))"""
+
+
 def _spans_sql() -> str:
     s = SPANS
     return rf"""

@@ -140,3 +140,13 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores where it has fewer files than there are cores.
+
+    A file of one row group is one task, however long its rows take.  Tables of more files are
+    read as they are, without a shuffle.  Select the columns first.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
