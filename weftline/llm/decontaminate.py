@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import without_ids
-from weftline.plans.runtime import small_batches
+from weftline.plans.runtime import materialize, small_batches
 
 WINDOW = 10
 SPANS = "array<struct<s:int,e:int>>"
@@ -114,19 +114,19 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The benchmark in blocks of bounded size, one at a time on the driver."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[tuple[list[tuple[str, str]], bool]]:
+    """(block, last): the benchmark in blocks of bounded size, one at a time on the driver; at least one."""
     block, held = [], 0
-    rows = benchmark.select(F.col(item_col).cast("string"), text_col).where(
-        F.col(item_col).isNotNull() & F.col(text_col).isNotNull()
+    rows = benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(item_col).cast("string"), text_col, F.octet_length(text_col)
     )
-    for item, text in rows.toLocalIterator():
-        if block and held + len(text) > block_bytes:
-            yield block
+    for item, text, size in rows.toLocalIterator():
+        if block and held + size > block_bytes:
+            yield block, False
             block, held = [], 0
         block.append((item, text))
-        held += len(text)
-    yield block
+        held += size
+    yield block, True
 
 
 def contamination(
@@ -146,8 +146,9 @@ def contamination(
     no hits, on either side; items with a null id are ignored, repeated items count once per
     id.  Other columns are ignored.  An empty benchmark hits nothing.
 
-    The benchmark travels with the tasks, at most ``block_bytes`` of it at a time: a larger
-    one is searched in as many passes over each batch of documents, and the hits are merged.
+    The benchmark travels with the tasks, at most ``block_bytes`` of it at a time (a longer item
+    is a block of its own).  A larger one is searched in as many passes, the hits so far written
+    to the shared folder between them, so driver and tasks hold one block whatever its size.
     """
     small_batches(docs.sparkSession)
     none = F.array().cast(SPANS), F.array().cast("array<string>")
@@ -156,8 +157,9 @@ def contamination(
         none[0].alias("spans"), none[1].alias("items"),
     )
     schema = found.schema
-    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
+    for block, last in _blocks(benchmark, item_col, item_text_col, block_bytes):
         found = found.mapInArrow(_scanner(block, window), schema)
+        found = found if last else materialize(found, "hits")
     return found.select(
         "doc_id",
         "n_words",

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weftline.llm.common import ascii_lower, without_ids
-from weftline.plans.runtime import shuffle_partitions
+from weftline.plans.runtime import materialize, shuffle_partitions
 
 #: Leading characters that the range splitters see; the rest is ordered by hash, then in full.
 HEAD_CHARS = 32
@@ -39,7 +39,9 @@ def exact_duplicates(
         F.col(id_col).alias("doc_id"),
         ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"),
     ).withColumn("mix", F.xxhash64("norm"))
-    most = max(1.0, docs.count() / (HOT_SHARE * parts))
+    # Normalised once; what follows reads the columns it needs.
+    rows = materialize(rows, "normalised")
+    most = max(1.0, rows.count() / (HOT_SHARE * parts))
     # More rows than `most` each: at most HOT_SHARE * partitions such keys can exist, so this
     # table of (8 byte, flag) rows may be broadcast at any input size.
     hot = F.broadcast(

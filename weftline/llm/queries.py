@@ -17,7 +17,7 @@ from weftline.llm import (
     quality,
     secrets,
 )
-from weftline.plans.runtime import read_table
+from weftline.plans.runtime import read_table, spread
 
 #: A key for the registered query; whoever shares results sets their own.
 PII_KEY = "example key, replace in production"
@@ -32,8 +32,12 @@ TARGETS = mixing.MixTargets(
 )
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.pseudonymise_documents(read_table(spark, sf_dir, "documents"), PII_KEY)
+    found = pii.pseudonymise_documents(_documents(spark, sf_dir), PII_KEY)
     counts = [_count(k) for k in pii.KINDS]
     return found.select(
         "doc_id",
@@ -53,11 +57,11 @@ def _spans(found, kind: str):
 
 
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), neardup.SketchParams(shingle=2, threshold=80))
+    return neardup.near_duplicates(_documents(spark, sf_dir), neardup.SketchParams(shingle=2, threshold=80))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     model = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"))
     return quality.score_quality(docs, model).select(
         "doc_id",
@@ -68,19 +72,19 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contamination(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
     )
 
 
 def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.drop_repeated_lines(read_table(spark, sf_dir, "documents"), LINE_WORDS)
+    out = linededup.drop_repeated_lines(_documents(spark, sf_dir), LINE_WORDS)
     return out.select("doc_id", "n_lines", "n_deleted", "deleted_lines", "text")
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+    found = licenses.scan_licenses(_documents(spark, sf_dir))
     return found.select(
         "doc_id",
         F.size("found").cast("long").alias("n_found"),
@@ -92,23 +96,23 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_documents(read_table(spark, sf_dir, "documents"), TARGETS).select(
+    return mixing.mix_documents(_documents(spark, sf_dir), TARGETS).select(
         "doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 9).alias("probability"), "kept"
     )
 
 
 def op8_exactdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exactdedup.exact_duplicates(read_table(spark, sf_dir, "documents"), keep="max")
+    return exactdedup.exact_duplicates(_documents(spark, sf_dir), keep="max")
 
 
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.main_text(read_table(spark, sf_dir, "pages")).select(
+    return html_text.main_text(spread(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
     )
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
+    found = secrets.scan_secrets(_documents(spark, sf_dir))
     base = F.filter("found", lambda x: x["kind"] != F.lit("guess"))
     counts = [_count(k) for k in ("assign", "access", "hex")]
     return found.select(
