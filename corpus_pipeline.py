@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from weftline.llm import decontaminate, linededup, mixing, neardup, quality
 from weftline.llm.queries import LINE_WORDS, QUALITY_THRESHOLD, TARGETS
-from weftline.plans.runtime import materialize, read_table
+from weftline.plans.runtime import materialize, read_table, spread
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier doesn't reject."""
+    """Documents that the quality classifier doesn't reject.
+
+    Null and empty texts are scored like others; rows that repeat an id are scored by their text.
+    """
     model = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"))
     return quality.keep_quality(docs, model, QUALITY_THRESHOLD)
 
@@ -33,17 +36,24 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates on five-word shingles, that with the smallest id.
+
+    Texts without words (null, empty) and rows with a null id stay.
+    """
     return neardup.drop_near_duplicates(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark."""
+    """Documents without passages of the benchmark; texts without words hold none and stay."""
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled to the target weights, with the probability they were kept with."""
+    """Documents sampled to the target weights, with the probability they were kept with.
+
+    Texts without words have no weight and are drawn at their cell's rate; unknown or null
+    sources, languages and topics fall under the rest.
+    """
     return mixing.sample_mix(docs, TARGETS)
 
 
@@ -61,7 +71,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each stage's rows written to the shared folder and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
