@@ -27,6 +27,8 @@ from weftline.plans.runtime import Scratch, bounded_broadcast
 
 WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["doc_id", "tkey"]
+#: Bytes of a pair of hashes in a broadcast table, and the most such a table may take.
+KEY_BYTES, KEY_LIMIT = 100, 96 << 20
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -101,10 +103,10 @@ def repeated_lines(
         # place are one row; overlapping windows of a document may share a minimum, which only
         # lets them through to the comparison of contents.
         shared = windows.groupBy("fh", "fg").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fh", "fg")
-        shared = bounded_broadcast(scratch.write(shared, "fingerprints"), 40)
+        shared = bounded_broadcast(scratch.write(shared, "fingerprints"), KEY_BYTES, KEY_LIMIT)
         candidates = scratch.write(windows.join(shared, ["fh", "fg"], "left_semi").drop("fh", "fg"), "candidates")
         alike = candidates.groupBy("ch", "cg").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("ch", "cg")
-        alike = bounded_broadcast(scratch.write(alike, "contents"), 40)
+        alike = bounded_broadcast(scratch.write(alike, "contents"), KEY_BYTES, KEY_LIMIT)
         repeated = candidates.join(alike, ["ch", "cg"], "left_semi").groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
         repeated = scratch.write(repeated, "repeated")
         digests = scratch.write(_digests(docs, repeated, id_col, text_col), "digests")
