@@ -3,7 +3,8 @@
 Validated values (cards by Luhn, IBANs by modulus 97, dates by calendar, addresses and phone
 numbers by range) are mapped within their own format: each value of a format goes to exactly
 one other value of that format, so equal values stay linked across documents, different
-values stay different, and the pseudonym validates like the original.
+values stay different, and the pseudonym validates like the original.  A date keeps its order,
+separator and padding; formats that can write the same dates share one permutation.
 """
 
 from __future__ import annotations
@@ -233,16 +234,16 @@ FIRST, LAST = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
 @lru_cache(maxsize=16)
-def _dates(order: str, day_width: int, month_width: int) -> array:
+def _dates(month_first: bool, day_width: int, month_width: int) -> array:
     """Ordinals of the dates that a format can write, in order.
 
-    A field of one character holds 1 to 9.  ``mdy`` stands for values that aren't dates when
-    read day first, so it and ``dmy`` have no value in common.
+    A field of one character holds 1 to 9.  Values are read month first only if they aren't dates
+    when read day first, so the two have no value in common.
     """
     days = map(date.fromordinal, range(FIRST, LAST + 1))
     return array("l", (
         d.toordinal() for d in days
-        if (day_width > 1 or d.day < 10) and (month_width > 1 or d.month < 10) and (order != "mdy" or d.day > 12)
+        if (day_width > 1 or d.day < 10) and (month_width > 1 or d.month < 10) and (not month_first or d.day > 12)
     ))
 
 
@@ -257,8 +258,10 @@ def _date(value: str, key: bytes) -> str | None:
             continue
         if not FIRST <= day <= LAST:
             return None
-        domain = _dates(order, len(text["d"]), len(text["m"]))
-        at = feistel(bisect_left(domain, day), len(domain), key, f"date{order}{sep}{len(text['d'])}{len(text['m'])}".encode())
+        domain = _dates(order == "mdy", len(text["d"]), len(text["m"]))
+        # One permutation for each set of dates, so a date stays linked over formats that write the same dates.
+        tweak = f"date{'mdy' if order == 'mdy' else ''}{len(text['d'])}{len(text['m'])}".encode()
+        at = feistel(bisect_left(domain, day), len(domain), key, tweak)
         new = date.fromordinal(domain[at])
         fields = {"y": f"{new.year:04d}", "m": f"{new.month:0{len(text['m'])}d}", "d": f"{new.day:0{len(text['d'])}d}"}
         return sep.join(fields[f] for f in order)
