@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.plans.runtime import small_batches
+from weftline.plans.runtime import Scratch, small_batches
 
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A
@@ -198,9 +198,12 @@ def word_ranks(docs: DataFrame, text_col: str = "text", most: int = RANKED_WORDS
     """
     words = docs.select(F.explode(F.split(F.lower(text_col), r"[^\p{L}]+")).alias("word"))
     words = words.where(F.length("word").between(*WORD_LENGTHS))
-    top = words.groupBy("word").count().orderBy(F.col("count").desc(), "word").limit(most).collect()
+    # Written first: collecting the limit at once would send the first ``most`` of every task to the driver.
+    top = words.groupBy("word").count().orderBy(F.col("count").desc(), "word").limit(most)
+    with Scratch(docs.sparkSession) as scratch:
+        rows = scratch.write(top, "words").collect()
     ranks = dict(RANK)
-    for r in top:
+    for r in sorted(rows, key=lambda r: (-r["count"], r["word"])):
         ranks.setdefault(r["word"], len(ranks) + 1)
     return ranks
 
