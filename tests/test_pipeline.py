@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import json
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from weftline import catalog
-from weftline.operators import profile
+from weftline.__main__ import main
+from weftline.operators import embed, profile
 from weftline.operators.simjoin import JoinConfig
 from weftline.plans import pipeline
 from weftline.plans.config import EmbedConfig, PipelineConfig, SegmentConfig, from_dict
@@ -54,6 +57,40 @@ def test_full_run(spark, jsonl, tmp_path):
     assert [(r.Source_Line_Number, r.num_segments) for r in summary] == [(2, 2), (4, 1)]
 
 
+def test_commands_stage_by_stage(spark, jsonl, tmp_path):
+    """One command per stage gives what the whole run gives."""
+    out = lambda name: str(tmp_path / name)
+    segment = ["--profile", "latin", "--keep-spaces", "--keep-foreign"]
+    main(["segment", jsonl, out("s"), *segment])
+    main(["embed", out("s/exclusive/Full_Files"), out("v"), "--layout", "per_line", "--dual-layer", "--original-script"])
+    main(["detect", out("v"), out("m"), "--threshold", "0.9", "--format", "parquet"])
+    main(["enrich", out("m"), out("e"), "--vectors", out("v"), "--format", "parquet"])
+    docs = readers.read_documents(spark, jsonl).select("line_number", "text", "file_id")
+    want = pipeline.run(docs, LATIN)
+    got = spark.read.parquet(out("e"))
+    columns = ["segment_a_id", "segment_b_id", "sim_lexical", "mapping_type", "wylie_syllable_distance"]
+    assert got.select(columns).collect() == want.select(columns).collect() and got.count() == 1
+    plan = readers.read_vectors(spark, out("v"), [4])
+    assert {r.Source_Line_Number for r in plan.collect()} == {4}
+    filters = re.search(r"PartitionFilters: \[(.*?)\], ", plan._jdf.queryExecution().executedPlan().toString())
+    assert "Source_Line_Number" in filters[1]
+
+
+def test_layers_of_a_model(spark):
+    class Letters:
+        """Three layers of a model with a token for each letter: its code, twice that, ten times that."""
+
+        def __call__(self, texts):
+            n = max(map(len, texts), default=0) or 1
+            codes = np.array([[ord(c) for c in t.ljust(n, "!")] for t in texts], np.float32)[:, :, None]
+            mask = np.array([[i < len(t) for i in range(n)] for t in texts])
+            return [codes, codes * 2, codes * 10], mask
+
+    df = spark.createDataFrame([(1, "ab"), (2, "c"), (3, ""), (4, None)], "id int, text string")
+    found = embed.embed_layers(df, Letters, {"low": (0, 1), "high": (-1,)}, normalize=False, batch=2).orderBy("id").collect()
+    assert [(list(r.low), list(r.high)) for r in found] == [([97.5 * 1.5], [975.0]), ([99 * 1.5], [990.0]), ([0.0], [0.0]), ([0.0], [0.0])]
+
+
 @pytest.mark.parametrize("mode", [{"mode": "overlapping", "min_chars": 3}, {"min_words": 1, "max_words": 2}, {"engine": "tokens"}])
 def test_modes(spark, jsonl, mode):
     docs = readers.read_documents(spark, jsonl)

@@ -112,6 +112,15 @@ def corpus_files(segments: DataFrame) -> DataFrame:
     )
 
 
+def read_vectors(spark: SparkSession, path: str, lines: list[int] | None = None) -> DataFrame:
+    """Segments with vectors as ``write_vectors`` left them; only those of the corpus files ``lines`` if given.
+
+    Of a folder per line only the folders asked for are read, of others the filter reaches the scan.
+    """
+    df = spark.read.parquet(path)
+    return df if lines is None else df.where(F.col("Source_Line_Number").isin(lines))
+
+
 def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
