@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import (
+    crosstoken,
     decontaminate,
+    divergence,
     exactdedup,
     html_text,
     licenses,
@@ -16,6 +18,7 @@ from weftline.llm import (
     pii,
     quality,
     secrets,
+    simhash,
 )
 from weftline.plans.runtime import read_table, spread
 
@@ -120,12 +123,25 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_documents(spark, sf_dir))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_duplicates(_documents(spark, sf_dir))
+
+
+def op13_crosstoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstoken.alignment_rows(_documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
         for f in (
             op1_pii, op2_neardup, op3_quality, op4_decontaminate, op5_linededup,
             op6_licenses, op7_mix, op8_exactdedup, op9_html, op10_secrets,
+            op11_divergence, op12_simhash, op13_crosstoken,
         )
     }
 
@@ -162,6 +178,41 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(item
 FROM dw LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
 """
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT row, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+v AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c,
+    1 + (1000000000 * CAST(coalesce(c.c, 0) + 2 AS HUGEINT)) // (coalesce(n.n, 0) + 2 * v.v) AS p
+  FROM g JOIN kept ON kept.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+lc AS (SELECT lang, term, sum(c) AS c FROM c GROUP BY lang, term),
+q AS (
+  SELECT lc.lang, lc.term, 1 + (1000000000 * CAST(lc.c + 2 AS HUGEINT)) // (sum(lc.c) OVER (PARTITION BY lc.lang) + 2 * v.v) AS q
+  FROM lc JOIN v ON v.lang = lc.lang),
+gaps AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN gaps ON gaps.lang = a.lang AND gaps.source = a.source AND gaps.item = b.source),
+terms AS (
+  SELECT lang, source, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+rows AS (SELECT 'pair' AS part, * FROM pairs UNION ALL SELECT 'term' AS part, * FROM terms)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+WHERE part = 'pair' OR rank <= 10
+"""
+
 OP5_SQL = rf"""
 WITH l0 AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
@@ -214,6 +265,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_linededup": OP5_SQL,
         "op7_mix": mixing_sql(),
         "op8_exactdedup": OP8_SQL,
+        "op11_divergence": OP11_SQL,
     }
 
 
