@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Tables of at most so many bytes may be sent whole to every executor.
@@ -127,6 +128,28 @@ def bounded_broadcast(df: DataFrame, row_bytes: int | Column, limit: int = BROAD
     return F.broadcast(df) if (df.agg(size.alias("size")).first()["size"] or 0) <= limit else df
 
 
+def prefix_sums(counts: DataFrame, key: str, count: str = "count") -> DataFrame:
+    """(key, ord, count, before): rows with their rank from 0 and the sum of all counts before, in the order of ``key``.
+
+    Keys are unique.  They are range-partitioned; what a range needs to know of earlier ones is one
+    row for each of these, so nothing is sorted in one task.
+    """
+    none = F.lit(0).cast("long")
+    dealt = counts.select(key, count).repartitionByRange(key)
+    dealt = materialize(dealt.withColumn("part", F.spark_partition_id()), "ranges")
+    parts = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("keys"), F.sum(count).alias("total"))
+    earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    base = parts.select("part", *[F.coalesce(F.sum(c).over(earlier), none).alias(f"{c}_before") for c in ("keys", "total")])
+    inside = W.partitionBy("part").orderBy(key)
+    own = dealt.withColumns({
+        "own": F.row_number().over(inside) - 1,
+        "own_total": F.coalesce(F.sum(count).over(inside.rowsBetween(W.unboundedPreceding, -1)), none),
+    })
+    return own.join(base, "part").select(
+        key, (F.col("own") + F.col("keys_before")).alias("ord"), count, (F.col("own_total") + F.col("total_before")).alias("before")
+    )
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

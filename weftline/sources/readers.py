@@ -7,37 +7,39 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weftline.functions.text import coalesced_text, strip
-from weftline.plans.runtime import materialize
+from weftline.plans.runtime import materialize, prefix_sums
 
 DOCUMENT = "text string, content string, file_id string, metadata struct<file_name:string,file_path:string,title:string>"
 UNKNOWN = "Unknown_Source"
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_number, value) of text files, numbered from 1 over all physical lines of each file.
+    """(line_number, value, path, path_line) of text files; numbers count all physical lines from 1.
 
-    Numbers are contiguous without a global sort: a line's number is the lines of the file's
-    earlier splits plus its place in its own.  Only the table of splits, one row each, is
-    ordered in one task.
+    ``path_line`` counts within a file and ``line_number`` over all files in the order of their
+    paths, so it is unique over a folder, the same in every run, and for one file the same as
+    ``path_line``.  Nothing is sorted as a whole: a line's number is the lines of earlier files, plus
+    those of the file's earlier splits, plus its place in its own.
     """
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
         F.monotonically_increasing_id().alias("i"), "value",
     )
     lines = materialize(lines, "lines")
-    splits = lines.groupBy("file", "at").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("first"))
-    earlier = W.partitionBy("file").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
-    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    return lines.join(splits, ["file", "at"]).select(
-        (F.col("before") + F.col("i") - F.col("first") + 1).alias("line_number"), "value"
-    )
+    splits = lines.groupBy("path", "at").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("first"))
+    earlier = W.partitionBy("path").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
+    splits = materialize(splits.withColumn("earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "splits")
+    files = prefix_sums(splits.groupBy("path").agg(F.sum("n").alias("count")), "path").select("path", "before")
+    splits = splits.join(files, "path").select("path", "at", "first", "earlier", "before")
+    own = F.col("earlier") + F.col("i") - F.col("first") + 1
+    return lines.join(splits, ["path", "at"]).select((F.col("before") + own).alias("line_number"), "value", "path", own.alias("path_line"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(line_number, text, file_id, metadata) of a JSON-lines file.
+    """(line_number, text, file_id, metadata) of a JSON-lines file, or of all files of a folder.
 
     Blank lines, invalid JSON, records that aren't objects and records without text are left
-    out; line numbers count them.  ``text`` falls back to ``content``.
+    out; line numbers count them and go on over the files of a folder.  ``text`` falls back to ``content``.
     """
     lines = numbered_lines(spark, path).withColumn("value", strip(F.col("value"))).where("value <> ''")
     rows = lines.select("line_number", F.from_json("value", DOCUMENT).alias("d"))
