@@ -76,6 +76,82 @@ def test_commands_stage_by_stage(spark, jsonl, tmp_path):
     assert "Source_Line_Number" in filters[1]
 
 
+def test_lines_of_a_folder(spark, tmp_path):
+    """Numbers go on over files in the order of their paths, the same in every run and for any splits."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    sizes = {"b.jsonl": 3, "a.jsonl": 700, "c d.jsonl": 0, "e.jsonl": 2}
+    for name, n in sizes.items():
+        (folder / name).write_text("".join(json.dumps({"text": f"{name} {i}"}) + "\n" for i in range(n)))
+    want, before = {}, 0
+    for name in sorted(sizes):
+        want |= {f"{name} {i}": (before + i + 1, i + 1) for i in range(sizes[name])}
+        before += sizes[name]
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for split in ("128m", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            rows = readers.numbered_lines(spark, str(folder)).collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+        assert {json.loads(r.value)["text"]: (r.line_number, r.path_line) for r in rows} == want
+    ids = [r.line_number for r in readers.read_documents(spark, str(folder)).collect()]
+    assert sorted(ids) == list(range(1, before + 1))
+
+
+@pytest.mark.parametrize("mode", [{"engine": "tokens"}, {"engine": "tokens", "mode": "overlapping", "min_chars": 3}, {"engine": "tokens", "max_words": 2}])
+def test_failing_rows_are_set_aside(spark, mode):
+    def poisoned(text):
+        if "bad" in text:
+            raise ValueError(f"can't cut {text}")
+        return re.findall(r"\s+|[^\s]+", text)
+
+    rows = [(1, "Good one. And two.", "x"), (2, "a bad row.", "y"), (3, "Three. Four.", "x"), (4, None, "x"), (5, "bad", None)]
+    docs = spark.createDataFrame(rows, "line_number long, text string, file_id string")
+    config = SegmentConfig(profile="latin", clean_foreign=False, remove_spaces=False, **mode)
+    good, failed = pipeline.segment_or_fail(docs, config, poisoned)
+    assert sorted((r.line_number, r.file_id, r.text, r.error) for r in failed.collect()) == [
+        (2, "y", "a bad row.", "ValueError: can't cut a bad row."), (5, None, "bad", "ValueError: can't cut bad"),
+    ]
+    whole = pipeline.segment_documents(docs.where("line_number in (1, 3, 4)"), config, poisoned)
+    assert good.columns == whole.columns and sorted(map(tuple, good.collect())) == sorted(map(tuple, whole.collect())) != []
+    with pytest.raises(Exception, match="can't cut"):
+        pipeline.segment_documents(docs, config, poisoned).collect()
+
+
+def test_counts_and_failed_rows_of_commands(spark, jsonl, tmp_path, capsys):
+    flags = ["--profile", "latin", "--keep-spaces", "--keep-foreign", "--failed", str(tmp_path / "failed")]
+    main(["segment", jsonl, str(tmp_path / "s"), *flags])
+    assert "lines: 2" in capsys.readouterr().out.splitlines()
+    main(["run", jsonl, str(tmp_path / "m"), *flags, "--original-script", "--threshold", "0.9", "--format", "parquet"])
+    assert capsys.readouterr().out.splitlines()[-2:] == ["lines: 2", "rows written: 1"]
+    assert spark.read.schema("error string").json(str(tmp_path / "failed")).count() == 0
+
+
+def test_resume_encodes_missing_files_only(spark, tmp_path):
+    rows = spark.createDataFrame([(line, i, f"text {line} {i}") for line in range(1, 9) for i in range(3)], "Source_Line_Number long, Sentence_Order int, t string")
+    path, encoded = str(tmp_path / "v"), []
+
+    def encode(part):
+        lines = sorted(r[0] for r in part.select("Source_Line_Number").distinct().collect())
+        if len(encoded) == 2 and not any(isinstance(x, Exception) for x in encoded):
+            encoded.append(RuntimeError("killed"))
+            raise encoded[-1]
+        encoded.append(lines)
+        return part.withColumn("v", F.length("t"))
+
+    with pytest.raises(RuntimeError):
+        writers.write_missing_vectors(rows, encode, path, files_per_commit=2)
+    done = {x for e in encoded[:2] for x in e}
+    assert {r[0] for r in spark.read.parquet(path).select("Source_Line_Number").distinct().collect()} == done
+    summary = writers.write_missing_vectors(rows, encode, path, files_per_commit=2)
+    again = {x for e in encoded[3:] for x in e}
+    assert again == set(range(1, 9)) - done and [(r[0], r[1]) for r in summary.collect()] == [(i, 3) for i in range(1, 9)]
+    n = len(encoded)
+    writers.write_missing_vectors(rows, encode, path)
+    assert len(encoded) == n and spark.read.parquet(path).count() == 24
+
+
 def test_layers_of_a_model(spark):
     class Letters:
         """Three layers of a model with a token for each letter: its code, twice that, ten times that."""
@@ -123,7 +199,7 @@ def test_text_folders(spark, tmp_path):
     assert [(r.name, r.text) for r in flat] == [("poc/a b.txt", "alpha\nbeta")]
     deep = {r.name for r in readers.read_texts(spark, str(tmp_path), "corpus/", recursive=True).collect()}
     assert deep == {"corpus/a b.txt", "corpus/sub/c.txt"}
-    writers.write_documents(readers.texts_as_documents(readers.read_texts(spark, str(tmp_path))), str(tmp_path / "out"))
+    main(["to-jsonl", str(tmp_path), str(tmp_path / "out")])
     assert json.loads(next((tmp_path / "out").glob("part-*")).read_text().splitlines()[0])["file_id"] == "a b"
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 from dataclasses import replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators.profile import jsonl_profile
@@ -20,8 +20,8 @@ from weftline.sources import readers, writers
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="weftline", description=__doc__)
-    parser.add_argument("command", choices=["run", *pipeline.STAGES, "align", "transliterate", "profile", "purge"])
-    parser.add_argument("input", help="JSON lines (run, segment, profile), segments (embed), vectors (detect), matches (enrich), a folder of .txt files (align, transliterate) or of outputs (purge)")
+    parser.add_argument("command", choices=["run", *pipeline.STAGES, "align", "transliterate", "to-jsonl", "profile", "purge"])
+    parser.add_argument("input", help="JSON lines (run, segment, profile), segments (embed), vectors (detect), matches (enrich), a folder of .txt files (align, transliterate, to-jsonl) or of outputs (purge)")
     parser.add_argument("output", nargs="?", help="folder to write")
     parser.add_argument("--corpus", help="align each input text with each text of this folder")
     parser.add_argument("--config", help="YAML configuration")
@@ -39,11 +39,15 @@ def main(args: list[str] | None = None) -> None:
     if o.command == "purge":
         print(*writers.purge(spark, [o.input], dry_run=not o.delete), sep="\n")
         return
+    lines = None
     if not o.output:
         parser.error("an output folder is needed")
     if o.command == "transliterate":
         writers.write_transliterated(readers.read_texts(spark, o.input), o.output)
         return
+    if o.command == "to-jsonl":
+        writers.write_documents(readers.texts_as_documents(readers.read_texts(spark, o.input)), o.output)
+        return
     if o.command == "align":
         texts = readers.read_texts(spark, o.input)
         corpus = readers.read_texts(spark, o.corpus, "corpus/", recursive=True) if o.corpus else None
@@ -51,22 +55,38 @@ def main(args: list[str] | None = None) -> None:
         return
     if o.command == "embed":
         segments = readers.read_segments(spark, o.input, o.max_segments)
+        if o.skip_existing and o.layout != "combined":
+            by = {"per_file": "Source_File", "per_line": "Source_Line_Number"}[o.layout]
+            writers.write_missing_vectors(segments, lambda part: pipeline.embed_segments(part, config), o.output, by).show(truncate=False)
+            return
         summary = writers.write_vectors(pipeline.embed_segments(segments, config), o.output, o.layout, o.skip_existing)
         summary.show(truncate=False)
         return
     if o.command in ("run", "segment"):
         docs = readers.read_documents(spark, o.input).select("line_number", "text", F.col("file_id"))
+        docs = docs.observe(lines := Observation("lines"), F.count(F.lit(1)).alias("lines"))
+        set_aside = (lambda failed: failed.write.mode("overwrite").json(o.failed)) if o.failed else None
         if o.command == "segment":
-            found = pipeline.output_segments(pipeline.segment_documents(docs, config.segment))
+            if set_aside:
+                good, failed = pipeline.segment_or_fail(docs, config.segment)
+                set_aside(failed)
+            else:
+                good = pipeline.segment_documents(docs, config.segment)
+            found = pipeline.output_segments(good)
             print(writers.write_segments(found, o.output, config.segment.mode == "overlapping", o.single_lines))
+            print(f"lines: {lines.get['lines']}")
             return
-        found = pipeline.run(docs, config, tuple(o.skip))
+        found = pipeline.run(docs, config, tuple(o.skip), set_aside)
     elif o.command == "detect":
         found = pipeline.detect_matches(readers.read_vectors(spark, o.input, o.line or None), config)
     else:
         vectors = readers.read_vectors(spark, o.vectors) if o.vectors else None
         found = pipeline.enrich_matches(readers.read_matches(spark, o.input, o.input_format), vectors, config)
+    found = found.observe(matches := Observation("matches"), F.count(F.lit(1)).alias("matches"))
     writers.write_matches(found, o.output, o.format or config.output.form, config.output.include_text, config.output.rows_per_file, config.output.encoding)
+    if lines:
+        print(f"lines: {lines.get['lines']}")
+    print(f"rows written: {matches.get['matches']}")
 
 
 def _stage_flags(parser: argparse.ArgumentParser) -> None:
@@ -78,6 +98,7 @@ def _stage_flags(parser: argparse.ArgumentParser) -> None:
         seg.add_argument(f"--{name}", type=int)
     seg.add_argument("--keep-spaces", dest="remove_spaces", action="store_false", default=None)
     seg.add_argument("--keep-foreign", dest="clean_foreign", action="store_false", default=None)
+    seg.add_argument("--failed", help="folder for rows that can't be segmented; without it such a row fails the job")
     seg.add_argument("--single-lines", action="store_true", help="a folder for each source line")
     emb = parser.add_argument_group("embed")
     emb.add_argument("--layout", default="combined", choices=["combined", "per_file", "per_line"])

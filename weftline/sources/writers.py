@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as st
 
@@ -62,6 +62,30 @@ def write_vectors(df: DataFrame, path: str, mode: str = "combined", skip_existin
     return vector_summary(df.sparkSession.read.parquet(path), by)
 
 
+def write_missing_vectors(
+    segments: DataFrame, embed: Callable[[DataFrame], DataFrame], path: str, by: str = "Source_Line_Number", files_per_commit: int = 1000
+) -> DataFrame:
+    """Vectors of the corpus files that ``path`` doesn't hold yet; the summary of all.
+
+    What is there is the manifest: its values of ``by`` leave the segments before they are
+    encoded.  The rest is written ``files_per_commit`` files at a time, a folder each, so a run
+    that was killed has kept what it had committed and the next goes on from there.
+    """
+    spark = segments.sparkSession
+    if _exists(spark, path):
+        segments = segments.join(spark.read.parquet(path).select(F.col(by).cast(segments.schema[by].dataType)).distinct(), by, "left_anti")
+    groups = -(-segments.select(by).distinct().count() // files_per_commit)
+    for g in range(groups):
+        part = segments.where(F.pmod(F.xxhash64(by), F.lit(groups)) == g)
+        embed(part).repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    return vector_summary(spark.read.parquet(path), by)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def vector_summary(df: DataFrame, by: str | None = None) -> DataFrame:
     """Counts of segments: all, or per value of ``by``."""
     if by:
