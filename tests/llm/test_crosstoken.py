@@ -116,3 +116,14 @@ def test_task_counts_in_parts(spark, aligner, monkeypatch):
     for found in aligner.align([t for _, t in data]):
         count.update(found.codes if found else [])
     assert {r["pair"]: r["count"] for r in whole} == count
+
+
+def test_ranks_encode_like_merges(aligner):
+    """Plain texts go through the ranked library, others as a whole; both equal the tokenizer's own ids."""
+    assert aligner.ranked is not None
+    rng = random.Random(9)
+    pieces = ["the", " a", "'s", "'LL", "don't", "  ", "\n", "\t", "1999", ",", "...", "é", "ß", "Ünder", "=>", "<|endoftext|>", " ", "x" * 40, "_", "—", "日", "\x1c", "\u00a0", "½"]
+    texts = [" " + "".join(rng.choice(pieces) for _ in range(rng.randrange(30))) for _ in range(400)]
+    assert any(C._PLAIN.fullmatch(t) for t in texts) and not all(C._PLAIN.fullmatch(t) for t in texts)
+    assert aligner.ids_a(texts) == [aligner.encode_a.encode(t, add_special_tokens=False).ids for t in texts]
+    assert aligner.ids_a([]) == []

@@ -12,9 +12,10 @@ of two vocabularies), so a path has to exist on the driver alone.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -179,6 +180,20 @@ class Alignment:
         return np.unique(np.array(self.codes, np.int64), return_counts=True)
 
 
+#: Texts of characters whose classes no version of Unicode or of a pattern library disputes.
+_PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+#: What byte-level BPE works on, one match at a time; no token crosses it (fixed value).
+BYTE_LEVEL = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PLAIN_PARTS = re.compile(
+    r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\t-\r A-Za-zÀ-ÖØ-öø-ÿ0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+)
+#: Texts on which the two libraries have to agree before the faster one is used.
+PROBES = (
+    "The licence isn't  valid.\n\n\tIn 1,234 countries: we'll see, they've gone 'so' he'd said...", "Être, où ça? Straße; ÿé 12é3",
+    "  lead", "trail  ", " ", "\n", "a  b   c \n d\t\te", "<|endoftext|> <s> </s> <0x41>", "x" * 300, "don''t '' 's ' 'S 'LL", "~!@#$%^&*()_+ {}|:<>? ",
+)
+
+
 class Aligner:
     """Both tokenizers, their tokens' bytes and the transducer of a Python worker."""
 
@@ -198,6 +213,41 @@ class Aligner:
         ]
         self.b = [piece_bytes(self.encode_b.id_to_piece(i)) for i in range(self.encode_b.get_piece_size())]
         self.transducer = Transducer(self.a, self.b)
+        self.ranked = self._ranked(files.a)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.encode_a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ranked(self, file: str) -> Callable[[str], list[int]] | None:
+        """The same byte-level BPE in the library that ranks merges by token id, some five times faster.
+
+        None unless the file says that both agree: plain byte-level BPE whose merges make ids in
+        ascending order and whose tokens each encode as themselves, and the probes agree.
+        """
+        spec = json.loads(file)
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer")
+        if not plain or not all(t["special"] for t in spec.get("added_tokens", [])):
+            return None
+        import tiktoken
+
+        special = {t["id"] for t in spec.get("added_tokens", [])}
+        made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        ranks = {x: i for i, x in enumerate(self.a) if x and i not in special}
+        if made != sorted(made) or len(ranks) != len(made) + 256:
+            return None
+        texts = {i: x.decode("utf-8", "replace") for i, x in enumerate(self.a) if i not in special}
+        one = {i: t for i, t in texts.items() if _PLAIN.fullmatch(t) and _PLAIN_PARTS.findall(t) == [t]}
+        if self._whole(list(one.values())) != [[i] for i in one]:
+            return None
+        encode = tiktoken.Encoding("ranked", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return encode if [encode(p) for p in PROBES] == self._whole(list(PROBES)) else None
+
+    def ids_a(self, texts: list[str]) -> list[list[int]]:
+        """A's ids, of plain texts by ranks where that is possible."""
+        rest = [t for t in texts if not self.ranked or not _PLAIN.fullmatch(t)]
+        whole = iter(self._whole(rest) if rest else [])
+        return [self.ranked(t) if self.ranked and _PLAIN.fullmatch(t) else next(whole) for t in texts]
 
     def align(self, texts: list[str | None]) -> Iterator[Alignment | None]:
         """One alignment per text, None for texts without tokens."""
@@ -213,17 +263,12 @@ class Aligner:
 
     def _align(self, texts: list[str | None]) -> Iterator[Alignment | None]:
         some = [t for t in texts if t]
-        both = zip(
-            self.encode_a.encode_batch_fast([" " + t for t in some], add_special_tokens=False) if some else [],
-            self.encode_b.encode(some, num_threads=1) if some else [],
-            strict=True,
-        )
+        both = zip(self.ids_a([" " + t for t in some]), self.encode_b.encode(some, num_threads=1) if some else [], strict=True)
         for text in texts:
             if not text:
                 yield None
                 continue
             a, b = next(both)
-            a = a.ids
             same = b"".join(map(self.a.__getitem__, a)) == b" " + text.encode("utf-8")
             yield self.transducer.groups(a, b) if same else None
 
