@@ -20,12 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.plans.runtime import materialize, small_batches
+from weftline.plans.runtime import bounded_broadcast, materialize, small_batches
 
 #: Bytes of a text as terms see it: A-Z lower-cased, other ASCII but a-z as space.
 _TERMS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: Entries that a task counts before it passes them on: about 60 MB.
 HELD = 300_000
+#: Bytes that a row of a language or source takes at most where such tables are measured.
+LANG_BYTES = 256
 #: In a task's counters, one document more; counts below are occurrences.
 _DOC = 1 << 44
 
@@ -116,20 +118,23 @@ def _counted(docs: DataFrame, p: DivergenceParams, lang_col: str, source_col: st
     ).where(F.col("docs") >= p.least_docs)
     kept = materialize(kept, "kept-terms")
     named = docs.select(*_names(lang_col, source_col)).distinct()
-    sources = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n_groups"))
+    # A row for each language: sent to every executor where these are few, so a large one isn't one task.
+    sources = bounded_broadcast(materialize(named.groupBy("lang").agg(F.count(F.lit(1)).alias("n_groups")), "languages"), LANG_BYTES)
     heavy = F.col("held") > p.heavy_share * F.col("n_groups")
     kept = kept.join(sources, "lang").withColumn("heavy", heavy)
     langs = kept.groupBy("lang").agg(
         F.sum("count").alias("lang_total"), F.count_if("first").alias("kept"),
         F.count_if(F.col("first") & F.col("heavy")).alias("heavy_terms"), F.count_if(~F.col("heavy")).alias("light_rows"),
     )
+    langs = bounded_broadcast(materialize(langs, "language-sums"), LANG_BYTES)
     totals = kept.groupBy("lang", "source").agg(F.sum("count").alias("total"))
     groups = named.join(totals, ["lang", "source"], "left").join(sources, "lang").join(langs, "lang", "left")
     groups = groups.na.fill(0, ["total", "lang_total", "kept", "heavy_terms", "light_rows"])
     groups = groups.withColumn("g", F.row_number().over(W.partitionBy("lang").orderBy("source")) - 1)
     groups = groups.withColumn("p0", F.when(F.col("kept") > 0, _share(F.lit(0), F.col("total"), F.col("kept"), p.scale)))
     groups = materialize(groups, "groups")
-    postings = kept.drop("n_groups", "heavy").join(groups, ["lang", "source"]).select(
+    by_group = bounded_broadcast(groups, LANG_BYTES)
+    postings = kept.drop("n_groups", "heavy").join(by_group, ["lang", "source"]).select(
         "lang", "source", "g", "term", "p0", "n_groups",
         _share(F.col("count"), F.col("total"), F.col("kept"), p.scale).alias("p"),
         _share(F.col("all"), F.col("lang_total"), F.col("kept"), p.scale).alias("q"),
