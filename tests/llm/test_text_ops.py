@@ -71,6 +71,15 @@ def test_overshooting_and_national_forms():
             new, found = pii.pseudonymise(text, KEY)
             assert [(k, text[s:e]) for k, s, e, _ in found] == [("phone", v)], text
             assert [x[:3] for x in pii.find_pii(new, KEY)] == [x[:3] for x in found], new
+    spellings = ["+33123456789", "+33 1 23 45 67 89", "+33 (0)1 23 45 67 89", "0033 1 23 45 67 89", "0033123456789", "+33-1-23-45-67-89"]
+    national = set()
+    for v in spellings:
+        (found,) = pii.find_pii(f"call {v} now", KEY)
+        digits = re.sub(r"\D", "", found[3]).removeprefix("00")
+        assert found[:3] == ("phone", 5, 5 + len(v)) and digits.startswith("33")
+        national.add(digits[2:].removeprefix("0") if "(0)" in v else digits[2:])
+    assert len(national) == 1  # equal values stay linked, in each format
+    assert [x[0] for x in pii.find_pii("ring 0123456789.", KEY)] == ["phone"]
     assert [x[:3] for x in pii.find_pii("+33 1 23 45 67 89 12 apples", KEY)] == [("phone", 0, 17)]
     assert pii.find_pii("10 20 30 40 50 and 000-12-3456, 1 234 567", KEY) == []
     assert [x[0] for x in pii.find_pii("01-02-2023 05.06.2020 01/02/2023", KEY)] == ["date"] * 3
@@ -517,8 +526,55 @@ def test_secrets_against_planted_values():
 def test_secret_cases(spark):
     data = [*rows(), (60, "api-key: Zk8#pQ2!mT5x secret=abcdef", None, "s", 1, "", "", "", "")]
     got = secrets.scan_secrets(frame(spark, data)).collect()
+    assert sorted(((r.doc_id, [tuple(x) for x in r.found]) for r in got), key=str) == sorted(((r[0], secrets.priced_secrets(r[1])) for r in data), key=str)
     ranks = secrets.word_ranks(frame(spark, data))
     counts = Counter(w for r in data for w in re.findall(r"[^\W\d_]+", (r[1] or "").lower()) if 3 <= len(w) <= 20 and w not in secrets.RANK)
     assert list(ranks)[len(secrets.RANK) :] == sorted(counts, key=lambda w: (-counts[w], w))
-    assert sorted(((r.doc_id, [tuple(x) for x in r.found]) for r in got), key=str) == sorted(((r[0], secrets.find_secrets(r[1], ranks=ranks)) for r in data), key=str)
+    assert sorted(((r.doc_id, [tuple(x)[:3] for x in r.found]) for r in secrets.scan_secrets(frame(spark, data), ranks=ranks).collect()), key=str) == sorted(((r[0], secrets.find_secrets(r[1], ranks=ranks)) for r in data), key=str)
     assert secrets.scan_secrets(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_secrets_do_not_depend_on_other_documents(spark):
+    """Alphabetic secrets are found however few or many documents there are, and however often one leaks."""
+    planted = [(1, "pwd: qzxkvjwhptmb"), (2, "passphrase = xkcdvbnwqpzjhg"), (3, "pwd: correct-horse"), (4, "secret=Zx9!kq#7"), (5, "no value here")]
+    tables = [planted, planted * 40, [*planted, *[(100 + i, f"filler text {i} qzxkvjwhptmb") for i in range(3000)]]]
+    schema = "doc_id long, text string"
+    found = [{(r.doc_id, tuple(map(tuple, r.found))) for r in secrets.scan_secrets(spark.createDataFrame(t, schema)).where("doc_id < 100").collect()} for t in tables]
+    assert found[0] == found[1] == found[2]
+    assert {i: [x[0] for x in f] for i, f in found[0]} == {1: ["guess"], 2: ["guess"], 3: ["guess"], 4: ["guess"], 5: []}
+
+
+def test_base_spans_are_priced():
+    calls = secrets.priced_secrets("password=hunter2000 AKIA" + "A1B2C3D4" * 2 + " " + "deadbeef" * 4)
+    assert [x[0] for x in calls] == ["assign", "access", "hex"]
+    assert all(x[3] == pytest.approx(secrets.guess_cost(v)) for x, v in zip(calls, ["hunter2000", "AKIA" + "A1B2C3D4" * 2, "deadbeef" * 4], strict=True))
+
+
+BODY = "<h1>Title of it</h1><p>" + "The long body of the page goes on for a while. " * 6 + "</p>"
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    (f"<html><body><form id=aspnetForm><nav>Menu</nav>{BODY}<input name=x></form></body></html>", True),
+    (f"<html><body><form><article>{BODY}</article></form><footer>F</footer></body></html>", True),
+    (f"<html><body><article>{BODY}<form><p>Send us your mail</p><input></form></article></body></html>", True),
+    ("<html><body><form><input></form></body></html>", False),
+])
+def test_forms_around_the_text_stay(page, want):
+    text = html_text.extract(page, html_text.best_path(page))
+    assert ("The long body" in text) == want and "Send us" not in text and "Menu" not in text
+
+
+def test_labels_and_adverts_inside_an_article_go():
+    page = f"<html><body><article>{BODY}<label>Your name</label><div class='adsbygoogle'>Buy now</div></article></body></html>"
+    text = html_text.extract(page, html_text.best_path(page))
+    assert "Your name" not in text and "Buy now" not in text and "The long body" in text
+
+
+def test_licenses_of_one_family_stay_apart():
+    notice = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    )
+    found = lambda name: {x[0] for x in licenses.find_licenses(notice.format(name), licenses.Templates(licenses.WORDINGS))}
+    assert not any(x.startswith("GPL") for x in found("Affero General Public License") | found("Lesser General Public License"))
+    assert any(x.startswith("GPL") for x in found("General Public License"))

@@ -29,7 +29,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 #: Elements that are never part of the main text.
 CHROME = frozenset(
-    "head nav header footer aside form script style noscript iframe template svg canvas button select textarea "
+    "head nav header footer aside script style noscript iframe template svg canvas button select textarea "
     "object audio video dialog menu title datalist".split()
 )
 #: Elements that end a block where they begin and end.
@@ -47,7 +47,7 @@ CLOSES = {
 #: Class, id and role words of what isn't main text.
 HINT = re.compile(
     r"(?:^|[\s_-])(?:nav(?:bar|igation)?|menus?|(?:site|page|main|top|global)?-?header|masthead|footers?|side-?bars?|comments?|disqus|replies"
-    r"|ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotion|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?"
+    r"|ads?(?:bygoogle)?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotion|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?"
     r"|shar(?:e|ing)|socials?|related|recommend(?:ed|ations?)?|newsletters?|subscri(?:be|ption)|breadcrumbs?|pagination|pager|widgets?"
     r"|complementary|contentinfo|search(?![-_](?!box|bar|form))|login|signup|toolbar|skip|disclaimer|feedback|respond|trackbacks?|comment-?list|outbrain|taboola)(?:$|[\s_-])",
     re.I,
@@ -127,16 +127,19 @@ class _Tags:
 
 
 def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """``tag.class`` with sorted classes and generalised digits; whether a hint rules it out."""
+    """``tag.class`` with sorted classes and generalised digits; whether a hint rules it out.
+
+    A form is ruled out like a hinted element, so one around the page's main text stays.
+    """
     if not attributes or "=" not in attributes:
-        return tag, False
+        return tag, tag == "form"
     words, classes = [], []
     for m in ATTRIBUTE.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
         words.append(value)
         if m[1].lower() == "class":
             classes = sorted(set(_DIGITS.sub("#", value).split()))
-    return ".".join([tag, *classes]), any(HINT.search(w) for w in words) and tag not in ("html", "body", "article", "main")
+    return ".".join([tag, *classes]), tag == "form" or any(HINT.search(w) for w in words) and tag not in ("html", "body", "article", "main")
 
 
 def blocks(page: str) -> list[tuple[Node, str, int]]:
@@ -225,7 +228,7 @@ def blocks(page: str) -> list[tuple[Node, str, int]]:
                 if stack[i].tag == "p":
                     cut(i)
                     break
-                if stack[i].tag in CONTAINER or stack[i].tag in CHROME:
+                if stack[i].tag in CONTAINER or stack[i].tag in CHROME or stack[i].tag == "form":
                     break
         if any(opened[x] for x in CLOSES.get(tag, ())):
             for i in range(len(stack) - 1, 0, -1):
@@ -249,8 +252,8 @@ def blocks(page: str) -> list[tuple[Node, str, int]]:
         elif tag == "a":
             in_link += 1
         else:
-            _, ruled_out = _label(tag, attributes) if tag in ("span", "ins", "label") else ("", False)
-            if ruled_out or stack[-1].chrome and tag == "span":
+            _, ruled_out = _label(tag, attributes) if tag in ("span", "ins") else ("", False)
+            if ruled_out or tag == "label" or stack[-1].chrome and tag == "span":
                 push(Node(tag, stack[-1].path, True, stack[-1], stack[-1].order))
             elif tag == "span":
                 push(Node(tag, stack[-1].path, False, stack[-1].parent, stack[-1].order))

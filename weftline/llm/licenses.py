@@ -241,6 +241,10 @@ class Templates:
         return outer != name and len(y) < len(x) and any(x[i : i + len(y)] == y for i in range(len(x) - len(y) + 1))
 
 
+#: Words that name another license of a family, so a wording without them isn't that license (fixed values).
+RELATIVES = frozenset("affero lesser library".split())
+
+
 def word_places(words: list[str]) -> dict[str, list[int]]:
     out: dict[str, list[int]] = {}
     for i, w in enumerate(words):
@@ -282,6 +286,8 @@ def _differ(wording: list[str], marks: set[str], block: list[str], lo: int, hi:
             agree += last.size
             kept.update(wording[last.a : last.a + last.size])
             if marks <= kept:
+                if RELATIVES & set(block[first : lo + last.b + last.size]) - set(wording):
+                    break  # and so does every longer stretch
                 differ = max(len(wording) - agree, last.b + last.size - equal[i].b - agree)
                 best = differ if best is None or differ < best else best
     return best

@@ -194,9 +194,11 @@ def _phone(value: str, key: bytes) -> str | None:
     digits = _compact(value)
     if not 8 <= len(digits) <= 15:
         return None
-    lead = re.match(r"\+?\d{1,3}(?=[ .(-])", value) if value[0] == "+" else None
-    country = _compact(lead[0]) if lead else ""
-    fixed = country + ("0" if country and re.match(r"\+\d+[ .-]?\(0\)", value) else "")
+    outside = digits[2:] if value.startswith("00") else digits if value[0] == "+" else ""
+    country = country_code(outside)
+    fixed = digits[: len(digits) - len(outside)] + country
+    if country and re.match(rf"(?:\+|00)[ .-]?{'[ .-]?'.join(country)}[ .-]?\(0\)", value):
+        fixed += "0"
     body = digits[len(fixed) :]
     most = NATIONAL.get(country, 15)
     if len(body.lstrip("0")) > most:
@@ -208,6 +210,18 @@ def _phone(value: str, key: bytes) -> str | None:
     return _refill(value, fixed + new)
 
 
+#: Country calling codes of two digits; 1 and 7 stand alone, all others have three (fixed values).
+TWO_DIGIT_CODES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 "
+    "90 91 92 93 94 95 98".split()
+)
+
+
+def country_code(digits: str) -> str:
+    """The calling code that international digits begin with, however they are spaced."""
+    return digits[: 1 if digits[:1] in ("1", "7") else 2 if digits[:2] in TWO_DIGIT_CODES else 3]
+
+
 #: Most digits of a national number, by country code.
 NATIONAL = {"1": 10, "33": 9, "34": 9}
 
@@ -307,7 +321,8 @@ RULES: dict[str, tuple[re.Pattern, Callable[[str, bytes], str | None]]] = {
             r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,5}(?:[ ./-]\d{2,8}){1,5}(?!\w)"
             r"|(?!\d{3}-\d{2}-\d{4}(?!\w))(?:0[1-9](?:[ .-]\d{2}){4}|\(0[1-9]\d{0,3}\)[ .-]?\d{5,8}|0[1-9]\d{0,3}[ /-]\d{5,8}"
             r"|[6-9]\d{2}(?:[ .-]\d{2}){3}|[6-9]\d[ .-]\d{3}(?:[ .-]\d{2}){2})(?!\w|[.-]\d)"
-            r"|\+\d{8,15}(?!\w))",
+            r"|\+\d{8,15}(?!\w)|00[1-9]\d{7,13}(?!\w|[.-]\d)|00[1-9]\d{0,2}[ .-]?(?:\(0\)[ .-]?)?\d{1,5}(?:[ ./-]\d{2,8}){1,5}(?!\w)"
+            r"|0[1-9]\d{8}(?!\w|[.-]\d))",
             re.A,
         ),
         _phone,

@@ -119,7 +119,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("found", lambda x: x["kind"] != F.lit("guess"))
     counts = [_count(k) for k in ("assign", "access", "hex")]
     return found.select(
-        "doc_id", *counts, F.sha2(_spans(base, "kind"), 256).alias("base_sha256"), _spans(F.col("found"), "kind").alias("spans")
+        "doc_id", *counts, F.sha2(_spans(base, "kind"), 256).alias("base_sha256"), _spans(F.col("found"), "kind").alias("spans"),
+        F.array_join(F.transform("found", lambda x: F.format_number(x["cost"], 2)), ",").alias("costs"),
     )
 
 

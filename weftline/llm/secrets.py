@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and guess-cost estimates for values in credential contexts.
 
-The patterns find assignments, access keys and hexadecimal runs.  Beside them, whatever
-stands where a credential would stand is priced: dynamic programming finds the cheapest way
+The patterns find assignments, access keys and hexadecimal runs.  They and whatever else
+stands where a credential would stand are priced: dynamic programming finds the cheapest way
 to spell the value as words, dates, repeats, keyboard walks and brute-force spans, and a
 value that even the cheapest spelling leaves expensive to guess is a secret.
 """
@@ -151,24 +151,29 @@ def _again(value: str, block: int) -> list[int]:
     return out
 
 
-def find_secrets(text: str | None, min_guesses: float = MIN_GUESSES, ranks: dict[str, int] = RANK) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of all secrets, code points, end exclusive, in listing order.
+def priced_secrets(text: str | None, min_guesses: float = MIN_GUESSES, ranks: dict[str, int] = RANK) -> list[tuple[str, int, int, float]]:
+    """(kind, start, end, log10 of the guesses) of all secrets, code points, end exclusive, in listing order.
 
-    Base kinds are leftmost and non-overlapping each; ``guess`` spans are values in credential
-    contexts whose guess cost is high and which no base span covers exactly.
+    Base kinds are leftmost and non-overlapping each and stay whatever their price; ``guess``
+    spans are values in credential contexts whose price is high and which no base span covers
+    exactly.  An assignment is priced by its value, the others by their whole span.
     """
     if not text:
         return []
-    out: list[tuple[str, int, int]] = []
+    out: list[tuple[str, int, int, float]] = []
+    price = lambda start, end: guess_cost(text[start:end], ranks)
     has_sep = ":" in text or "=" in text
+    values: set[tuple[int, int]] = set()
     if has_sep:
-        out += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+        for m in ASSIGN.finditer(text):
+            if m.end(2) - m.start(2) >= 6:
+                values.add(m.span(2))
+                out.append(("assign", m.start(), m.end(), price(*m.span(2))))
     if "AKIA" in text:
-        out += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
-    out += [("hex", m.start(), m.end()) for m in LONG_HEX.finditer(text)]
+        out += [("access", *m.span(), price(*m.span())) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
+    out += [("hex", *m.span(), price(*m.span())) for m in LONG_HEX.finditer(text)]
     if has_sep or " is " in text or " IS " in text or " Is " in text:
-        values = {(m.start(2), m.end(2)) for m in ASSIGN.finditer(text)} if has_sep else set()
-        bare = {(s, e) for _, s, e in out} | {x for x in values if x[1] - x[0] >= 6}
+        bare = {(s, e) for _, s, e, _ in out} | values
         at = 0
         while m := CONTEXT.search(text, at):
             quote, start = m["quote"], m.start("value")
@@ -180,11 +185,16 @@ def find_secrets(text: str | None, min_guesses: float = MIN_GUESSES, ranks: dict
             at = start + len(value)
             if m["prose"] and not quote and value.isalpha():
                 continue  # "is" before a bare word is prose
-            if len(value) >= 6 and (start, at) not in bare and guess_cost(value, ranks) >= min_guesses:
-                out.append(("guess", start, at))
+            if len(value) >= 6 and (start, at) not in bare and (cost := guess_cost(value, ranks)) >= min_guesses:
+                out.append(("guess", start, at, cost))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+def find_secrets(text: str | None, min_guesses: float = MIN_GUESSES, ranks: dict[str, int] = RANK) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of :func:`priced_secrets`."""
+    return [x[:3] for x in priced_secrets(text, min_guesses, ranks)]
+
+
 #: ``HEX`` with its length test: runs are maximal, so both find the same.
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
@@ -211,28 +221,31 @@ def word_ranks(docs: DataFrame, text_col: str = "text", most: int = RANKED_WORDS
 def scan_secrets(
     docs: DataFrame, min_guesses: float = MIN_GUESSES, id_col: str = "doc_id", text_col: str = "text", ranks: dict[str, int] | None = None
 ) -> DataFrame:
-    """One row per input row: doc_id and ``found``, an array of (kind, start, end).
+    """One row per input row: doc_id and ``found``, an array of (kind, start, end, cost).
 
-    Values are priced with ``ranks``, by default the words of these documents.
+    ``cost`` is the log10 of the guesses that the cheapest spelling of the value needs, with
+    ``ranks``, by default the common passwords: a fixed list, so what is found in a document
+    doesn't depend on the others.  :func:`word_ranks` gives those of a corpus, which belongs
+    to other documents than those searched, as a secret among its words is cheap.
 
     Null and empty texts have none; whole texts are searched, of any length.  Other columns
     are ignored; repeated rows give repeated results.
     """
     small_batches(docs.sparkSession)
-    ranks = word_ranks(docs, text_col) if ranks is None else ranks
+    ranks = RANK if ranks is None else ranks
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("cost", pa.float64())]))
         for batch in batches:
             found = [
-                [{"kind": k, "start": s, "end": e} for k, s, e in find_secrets(t, min_guesses, ranks)]
+                [{"kind": k, "start": s, "end": e, "cost": c} for k, s, e, c in priced_secrets(t, min_guesses, ranks)]
                 for t in batch.column("text").to_pylist()
             ]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], names=["doc_id", "found"])
 
-    return source.mapInArrow(run, f"doc_id {id_type}, found array<struct<kind:string,start:int,end:int>>")
+    return source.mapInArrow(run, f"doc_id {id_type}, found array<struct<kind:string,start:int,end:int,cost:double>>")
 
 
 def redact_secrets(text: str | None, mask: str = "[secret]", min_guesses: float = MIN_GUESSES, ranks: dict[str, int] = RANK) -> str | None:
