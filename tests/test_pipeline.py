@@ -167,6 +167,52 @@ def test_layers_of_a_model(spark):
     assert [(list(r.low), list(r.high)) for r in found] == [([97.5 * 1.5], [975.0]), ([99 * 1.5], [990.0]), ([0.0], [0.0]), ([0.0], [0.0])]
 
 
+MODEL = '''
+import numpy as np
+
+class Model:
+    """Two layers: letter codes of each character, and their squares over a hundred."""
+    def __init__(self, device, max_length, scale=1.0):
+        self.device, self.most, self.scale = device, max_length, scale
+    def lengths(self, texts):
+        return [min(self.most, len(t)) for t in texts]
+    def __call__(self, texts):
+        assert self.device == "cpu" and len(texts) * max(map(len, texts)) <= 64 or len(texts) == 1
+        texts = [t[: self.most] for t in texts]
+        n = max(1, *map(len, texts))
+        codes = np.array([[[ord(c), 1.0] for c in t.ljust(n, "!")] for t in texts], np.float32) * self.scale
+        return [codes, codes**2 / 100], np.array([[i < len(t) for i in range(n)] for t in texts])
+'''
+
+
+def test_model_by_configuration(spark, jsonl, tmp_path, monkeypatch):
+    """A local model through the embed command, batches by tokens, the order of rows as before."""
+    (tmp_path / "lettermodel.py").write_text(MODEL)
+    spark.sparkContext.addPyFile(str(tmp_path / "lettermodel.py"))
+    config = tmp_path / "c.yaml"
+    config.write_text("embed: {model: 'lettermodel:Model', options: {scale: 2.0}, semantic_layers: [1], lexical_layers: [0, 1], batch_tokens: 64, normalize: false, transliterate: false, dual_layer: true}")
+    out = lambda name: str(tmp_path / name)
+    main(["segment", jsonl, out("s"), "--profile", "latin", "--keep-spaces", "--keep-foreign"])
+    main(["embed", out("s/exclusive/Full_Files"), out("v"), "--config", str(config), "--device", "cpu", "--max-length", "12"])
+    rows = spark.read.parquet(out("v")).collect()
+    assert len(rows) == 3
+    for r in rows:
+        low = np.array([[ord(c), 1.0] for c in r.Segmented_Text[:12]]) * 2.0
+        high = low**2 / 100
+        assert np.allclose(r.emb_semantic, high.mean(0), rtol=1e-4) and np.allclose(r.emb_lexical, ((low + high) / 2).mean(0), rtol=1e-4)
+    with pytest.raises(ValueError):
+        embed.load_factory("nothing")
+
+
+def test_batches_by_tokens():
+    lengths = [5, 1, 9, 1, 30, 2]
+    groups = embed.by_tokens(lengths, 3, 10)
+    assert sorted(i for g in groups for i in g) == list(range(6)) and [4] in groups
+    assert all(len(g) <= 3 and (len(g) == 1 or len(g) * max(lengths[i] for i in g) <= 10) for g in groups)
+    assert embed.by_tokens(lengths, 4, None) == [[0, 1, 2, 3], [4, 5]] and embed.by_tokens([], 4, 10) == []
+    assert embed.accelerators(0) is None
+
+
 @pytest.mark.parametrize("mode", [{"mode": "overlapping", "min_chars": 3}, {"min_words": 1, "max_words": 2}, {"engine": "tokens"}])
 def test_modes(spark, jsonl, mode):
     docs = readers.read_documents(spark, jsonl)

@@ -105,6 +105,10 @@ def _stage_flags(parser: argparse.ArgumentParser) -> None:
     emb.add_argument("--dual-layer", action="store_true", default=None)
     emb.add_argument("--original-script", dest="transliterate", action="store_false", default=None, help="embed the text, not its transliteration")
     emb.add_argument("--batch", type=int, help="texts per call of the encoder")
+    emb.add_argument("--model", help="package.module:factory of a model that gives hidden states")
+    emb.add_argument("--device", help="what the model's factory is told")
+    emb.add_argument("--max-length", type=int, help="tokens of a text that the model sees")
+    emb.add_argument("--batch-tokens", type=int, help="padded tokens per call of the model")
     emb.add_argument("--max-segments", type=int)
     emb.add_argument("--skip-existing", action="store_true")
     det = parser.add_argument_group("detect")
@@ -129,7 +133,7 @@ def _overridden(c: PipelineConfig, o: argparse.Namespace) -> PipelineConfig:
     return replace(
         c,
         segment=replace(segment, mode=o.segment_mode) if o.segment_mode else segment,
-        embed=given(c.embed, "dual_layer", "transliterate", "batch", "normalize"),
+        embed=given(c.embed, "dual_layer", "transliterate", "batch", "normalize", "model", "device", "max_length", "batch_tokens"),
         detect=given(c.detect, "strategy", "threshold", "k", "batch_size", "normalize"),
         enrichers=tuple({"name": n} for n in o.enricher) if o.enricher else c.enrichers,
     )
