@@ -55,15 +55,15 @@ def test_cases(spark, k):
     assert ids.count(1) == 1 and ids.count(3) == 0 and ids.count(4) == 1
 
 
-@pytest.mark.parametrize(("k", "rounds", "block", "long"), [(5, 3, 1024, 4096), (2, 1, 8, 4096), (2, 1, 8, 50)])
-def test_chains_and_groups(spark, monkeypatch, k, rounds, block, long):
+@pytest.mark.parametrize(("k", "rounds", "block", "shingles"), [(5, 3, 1024, 1 << 22), (2, 1, 8, 1 << 22), (2, 1, 1024, 700)])
+def test_chains_and_groups(spark, monkeypatch, k, rounds, block, shingles):
     """Drifting edits, so that ends of a chain aren't similar, and a large group of near copies.
 
-    Buckets share a group or go block against block; sets go along or are joined later.
+    Buckets share a group or go block against block, by members or by shingles.
     """
     monkeypatch.setattr(neardup, "LEADER_ROUNDS", rounds)
     monkeypatch.setattr(neardup, "BLOCK", block)
-    monkeypatch.setattr(neardup, "LONG_SET", long)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", shingles)
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
     data, base = [], [word() for _ in range(80)]
@@ -82,6 +82,32 @@ def test_chains_and_groups(spark, monkeypatch, k, rounds, block, long):
     assert order((r.doc_id, r.n_shingles, r.component_id) for r in got) == order(brute(data, k))
 
 
+def test_long_half_similar_texts(spark):
+    """Long texts that are nearly similar enough and never link make no rows for their pairs."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(6))
+    base = [word() for _ in range(6000)]
+    data = []
+    for i in range(60):
+        near = list(base)
+        for at in rng.sample(range(6000), 480):  # about 0.73 of the pairs of words stay shared
+            near[at] = word()
+        data.append((i, " ".join(near), "en", "s", 1, "", "", "", ""))
+    data += [(100 + i, data[i][1] + " more", *data[i][2:]) for i in range(3)]
+    docs = frame(spark, data)
+    p = SketchParams(shingle=2)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, p).collect()}
+    assert got == {i: i for i in range(60)} | {100 + i: i for i in range(3)}
+
+
+def test_null_ids_stay(spark):
+    """A repeated id elsewhere doesn't merge rows without an id."""
+    left = neardup.drop_near_duplicates(frame(spark))
+    assert sum(r.doc_id is None for r in left.collect()) == sum(r[0] is None for r in rows())
+    data = [(None, "one two three four five six", *["x"] * 2, 1, *["x"] * 4)] * 2 + [(7, "a b c", *["x"] * 2, 1, *["x"] * 4)] * 2
+    assert sorted(str(r.doc_id) for r in neardup.drop_near_duplicates(frame(spark, data)).collect()) == ["7", "None", "None"]
+
+
 def test_empty(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 

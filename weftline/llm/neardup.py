@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import without_ids
+from weftline.llm.common import fresh, without_ids
 from weftline.llm.components import connected_components
 from weftline.plans.runtime import Scratch, bounded_broadcast, materialize, small_batches
 
@@ -199,7 +199,7 @@ class _Classes:
     cls: list[bytes]
     n: np.ndarray
     regs: np.ndarray
-    sets: list[np.ndarray | None]
+    sets: list[np.ndarray]
 
     @staticmethod
     def of(table: pa.Table | pa.RecordBatch, suffix: str = "") -> _Classes:
@@ -208,7 +208,7 @@ class _Classes:
             cls,
             table.column("n" + suffix).to_numpy(zero_copy_only=False).astype(float),
             np.frombuffer(b"".join(regs), np.uint16).reshape(len(regs), -1),
-            [None if s is None else np.frombuffer(s, np.uint64) for s in sets],
+            [np.frombuffer(s, np.uint64) for s in sets],
         )
 
 
@@ -264,7 +264,7 @@ def near_duplicates(
         sketch = scratch.write(sketches(docs, p, id_col, text_col), "sketches", keep=True)
         buckets = scratch.write(_buckets(sketch), "buckets")
         near = scratch.write(_near(docs, sketch, buckets, p, id_col, text_col), "near")
-        placed = buckets.select("key", "class", "handle").withColumn("root", F.col("class"))
+        placed = buckets.select("key", "class", "handle", "n").withColumn("root", F.col("class"))
         found, root = None, None
         for salt in range(LEADER_ROUNDS):
             pairs = _first_leaders(buckets) if salt == 0 else _leaders(placed, salt)
@@ -272,9 +272,7 @@ def near_duplicates(
             found = links if found is None else found.unionByName(links)
             root = connected_components(found, scratch=scratch)
             placed = scratch.write(_open_buckets(placed, root), f"open-{salt}")
-        links = scratch.write(_block_links(placed, near, p), "links-blocks")
-        unsure = scratch.write(links.where(~F.col("sure")).select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")).distinct(), "unsure")
-        found = found.unionByName(links.where("sure").select("a", "b")).unionByName(_confirmed(unsure, near, p))
+        found = found.unionByName(scratch.write(_block_links(placed, near, p), "links-blocks"))
         root = scratch.write(connected_components(found, scratch=scratch), "roots", keep=True)
     return _resolved(sketch, root)
 
@@ -284,18 +282,18 @@ LEADER_ROUNDS = 3
 
 
 def _buckets(sketch: DataFrame) -> DataFrame:
-    """(key, class, handle, low) of band buckets with more than one class.
+    """(key, class, handle, n, low) of band buckets with more than one class.
 
     ``handle`` is a 64-bit hash of the class and ``low`` the least of the bucket: its first
     leader, the same class in every bucket that holds it.  Copies are combined before the
     shuffle, and what is shuffled is two handles for each key of a partition.
     """
     members = sketch.where(F.col("class").isNotNull()).select(
-        "class", F.xxhash64("class").alias("handle"), F.explode("bands").alias("key")
+        "class", F.xxhash64("class").alias("handle"), "n", F.explode("bands").alias("key")
     )
     mixed = members.groupBy("key").agg(F.min("handle").alias("low"), F.max("handle").alias("high")).where("low <> high")
     mixed = bounded_broadcast(materialize(mixed.select("key", "low"), "mixed"), 40)
-    return members.join(mixed, "key").groupBy("key", "class", "handle").agg(F.min("low").alias("low"))
+    return members.join(mixed, "key").groupBy("key", "class", "handle", "n").agg(F.min("low").alias("low"))
 
 
 def _near(docs: DataFrame, sketch: DataFrame, buckets: DataFrame, p: SketchParams, id_col: str, text_col: str) -> DataFrame:
@@ -348,37 +346,38 @@ def _leaders(placed: DataFrame, salt: int) -> DataFrame:
 
 
 def _open_buckets(placed: DataFrame, root: DataFrame) -> DataFrame:
-    """(key, class, handle, root) of the buckets that span more than one component."""
+    """(key, class, handle, n, root) of the buckets that span more than one component."""
     label = root.select(F.col("node").alias("class"), F.col("root").alias("label"))
     placed = placed.drop("root").join(label, "class", "left").select(
-        "key", "class", "handle", F.coalesce("label", "class").alias("root")
+        "key", "class", "handle", "n", F.coalesce("label", "class").alias("root")
     )
     code = F.xxhash64("root")
     keys = placed.groupBy("key").agg(F.min(code).alias("r0"), F.max(code).alias("r1")).where("r0 <> r1").select("key")
     return placed.join(keys, "key", "left_semi")
 
 
-#: Members of a block, and shingles up to which a full set goes with its class into a block.
-BLOCK, LONG_SET = 1024, 4096
+#: Members of a block, and shingles of all their sets together.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
 
 
 def _block_links(placed: DataFrame, near: DataFrame, p: SketchParams) -> DataFrame:
-    """(a, b, sure): links between components inside a bucket, from all of its pairs of classes.
-
-    A bucket's largest component and the rest are dealt into blocks of about ``BLOCK`` members.
-    Each block of the rest meets itself, the others of the rest and each block of the largest
-    component in a group, so a group holds two blocks whatever the bucket's size, and a
-    component with a few classes beside it is sent once.  Small buckets share groups.  Pairs
-    are tried in the first band that both classes share.  Pairs with a set of more than
-    ``LONG_SET`` shingles come back as not sure; they are confirmed by a join.
+    """(a, b): links between components inside a bucket, from all of its pairs of classes.
+
+    A bucket's largest component and the rest are dealt into blocks of about ``BLOCK`` members
+    or ``BLOCK_SHINGLES`` shingles, whichever makes more.  Each block of the rest meets itself, the
+    others of the rest and each block of the largest component in a group, so a group holds two
+    blocks whatever the bucket's size, and a component with a few classes beside it is sent once.
+    Small buckets share groups.  Pairs are tried in the first band that both classes share.
     """
-    per = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-    per = per.groupBy("key").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("members"))
+    per = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
+    per = per.groupBy("key").agg(F.max(F.struct("c", "root", "w")).alias("top"), F.sum("c").alias("members"), F.sum("w").alias("weight"))
     rows = placed.join(per, "key")
-    bins = max(1, placed.count() // BLOCK)
-    large, main = F.col("members") > BLOCK, F.col("root") == F.col("top.root")
-    rest_blocks = F.ceil((F.col("members") - F.col("top.c")) / BLOCK).cast("int")
-    main_blocks = F.ceil(F.col("top.c") / BLOCK).cast("int")
+    all_ = placed.agg(F.count(F.lit(1)).alias("c"), F.coalesce(F.sum("n"), F.lit(0)).alias("w")).first()
+    bins = max(1, all_["c"] // BLOCK, all_["w"] // BLOCK_SHINGLES)
+    large, main = (F.col("members") > BLOCK) | (F.col("weight") > BLOCK_SHINGLES), F.col("root") == F.col("top.root")
+    blocks = lambda c, w: F.greatest(F.ceil(c / BLOCK), F.ceil(w / BLOCK_SHINGLES)).cast("int")
+    rest_blocks = blocks(F.col("members") - F.col("top.c"), F.col("weight") - F.col("top.w"))
+    main_blocks = blocks(F.col("top.c"), F.col("top.w"))
     rows = rows.select(
         "key", "class", "root", large.alias("large"),
         F.when(large, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(bins))).alias("place"),
@@ -392,11 +391,10 @@ def _block_links(placed: DataFrame, near: DataFrame, p: SketchParams) -> DataFra
     rows = rows.select(
         "key", "class", "root", "large", "place", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
-    full = F.when(F.col("n") <= LONG_SET, F.col("hashes")).alias("hashes")
-    rows = rows.join(near.select("class", "n", "regs", full), "class")
+    rows = rows.join(near.select("class", "n", "regs", "hashes"), "class")
 
     def run(group: pa.Table) -> pa.Table:
-        out: list[tuple[bytes, bytes, bool]] = []
+        out: list[tuple[bytes, bytes]] = []
         if group.num_rows:
             keys = group.column("key").to_numpy()
             i, j, own = group.column("i")[0].as_py(), group.column("j")[0].as_py(), group.column("own").to_numpy()
@@ -407,13 +405,13 @@ def _block_links(placed: DataFrame, near: DataFrame, p: SketchParams) -> DataFra
             for at in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
                 first = int(np.flatnonzero(bands[at[0]] == keys[at[0]])[0])
                 out += _bucket_links(members, at[own[at] == i], at[own[at] == j], bands[:, :first], component, p)
-        a, b, sure = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "sure": pa.array(sure, pa.bool_())})
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return rows.groupBy("large", "place", "i", "j").applyInArrow(run, "a binary, b binary, sure boolean")
+    return rows.groupBy("large", "place", "i", "j").applyInArrow(run, "a binary, b binary")
 
 
-def _bucket_links(m: _Classes, x: np.ndarray, y: np.ndarray, before: np.ndarray, component: np.ndarray, p: SketchParams) -> list[tuple[bytes, bytes, bool]]:
+def _bucket_links(m: _Classes, x: np.ndarray, y: np.ndarray, before: np.ndarray, component: np.ndarray, p: SketchParams) -> list[tuple[bytes, bytes]]:
     """Links between the members ``x`` and ``y`` of one bucket.
 
     ``before`` holds the keys of the bands before the bucket's, whose pairs are tried there;
@@ -431,11 +429,9 @@ def _bucket_links(m: _Classes, x: np.ndarray, y: np.ndarray, before: np.ndarray,
         for o in with_.tolist():
             if component[k] == component[o]:
                 continue
-            sure = m.sets[k] is not None and m.sets[o] is not None
-            if not sure or _linked(m.sets[k], m.sets[o], p):
-                out.append((m.cls[k], m.cls[o], sure))
-                if sure:
-                    component[component == component[o]] = component[k]
+            if _linked(m.sets[k], m.sets[o], p):
+                out.append((m.cls[k], m.cls[o]))
+                component[component == component[o]] = component[k]
     return out
 
 
@@ -465,10 +461,14 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id, and all else.
 
-    Rows that repeat an id and its text are one document: one of them stays.
+    Rows that repeat an id and its text are one document: one of them stays.  Rows with a null id stay.
     """
     result = materialize(near_duplicates(docs, params, id_col, text_col), "near-duplicates")
-    out = without_ids(docs, id_col, result.where(~F.col("kept")).select("doc_id"))
-    if not result.groupBy("doc_id").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates([id_col, text_col])
-    return out
+    out = without_ids(docs, id_col, result.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id"))
+    twice = result.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1")
+    name = fresh(docs, "twice")
+    twice = bounded_broadcast(materialize(twice.select(F.col("doc_id").alias(name)), "repeated-ids"), 32)
+    if twice.isEmpty():
+        return out
+    again = out.join(twice, out[id_col] == F.col(name), "left_semi").dropDuplicates([id_col, text_col])
+    return out.join(twice, out[id_col] == F.col(name), "left_anti").unionByName(again)
