@@ -474,10 +474,105 @@ def oracle_sql() -> dict[str, str]:
             SELECT conv_id, turn_a, d AS wylie_syllable_distance,
               CASE WHEN alike AND NOT apart THEN 'textual' WHEN apart AND NOT alike THEN 'semantic' ELSE 'uncertain' END AS mapping_type FROM l""",
         "document_records": "SELECT text, CAST(doc_id AS VARCHAR) AS file_id FROM documents",
+        "syllable_segments": _syllables_sql(2, 12),
+        "word_segments": _words_sql(3, 12),
+        "token_segments": _folded_sql(legacy=False, least=4),
+        "legacy_segments": _folded_sql(legacy=True, least=4),
     }
+    regions = _regions_sql(out["seed_pairs"])
+    out["seed_regions"] = f"WITH RECURSIVE {regions} SELECT * FROM regions"
+    out["largest_regions"] = f"""WITH RECURSIVE {regions}
+        SELECT *, CAST(end_a - start_a AS BIGINT) * (end_b - start_b) AS cells FROM regions ORDER BY cells DESC, file_a, file_b, region LIMIT 5"""
     return out
 
 
+_EXPLODED = 'row_number() OVER (PARTITION BY doc_id ORDER BY part, b) AS segment_order, text, start, "end", length(text) AS n_chars'
+
+
+def _syllables_sql(low: int, high: int) -> str:
+    """Segments of part least ``low`` spaces; long ones are cut before the spaces number high + 1, 2 high + 1 and so on.
+
+    A last piece that is too short isn't cut off.
+    """
+    return f"""
+WITH {_SEGMENTS_SQL},
+a AS (SELECT doc_id, segment_order AS part, text, start, "end", length(text) - length(replace(text, ' ', '')) AS n FROM seg),
+x AS (SELECT * FROM a WHERE n >= {low}),
+s AS (SELECT *, generate_subscripts(string_split(text, ' '), 1) AS k, length(unnest(string_split(text, ' '))) AS size FROM x WHERE n > {high}),
+c AS (SELECT *, sum(size) OVER (PARTITION BY doc_id, part ORDER BY k) + k - 1 AS place FROM s),
+b AS (SELECT doc_id, part, CAST(0 AS BIGINT) AS b FROM c WHERE k = 1 UNION ALL
+      SELECT doc_id, part, CAST(place AS BIGINT) FROM c WHERE k > 1 AND k % {high} = 1 AND k <= n AND NOT (k - 1 = {high} * ((n - 1) // {high}) AND n - k + 1 < {low})),
+y AS (SELECT *, lead(b) OVER (PARTITION BY doc_id, part ORDER BY b) AS upto FROM b),
+z AS (SELECT doc_id, part, 0 AS b, text, start, "end" FROM x WHERE n <= {high} UNION ALL
+      SELECT doc_id, part, b, substr(text, b + 1, coalesce(upto, length(text)) - b), start + b, start + coalesce(upto, length(text)) FROM y JOIN x USING (doc_id, part))
+SELECT doc_id, {_EXPLODED} FROM z"""
+
+
+def _words_sql(low: int, high: int) -> str:
+    """Segments of part least ``low`` words; long ones are cut after every ``high``, a short tail stays with the piece before."""
+    return f"""
+WITH {_SEGMENTS_SQL},
+a AS (SELECT doc_id, segment_order AS part, text, start, "end", regexp_extract_all(text, '[{_PY_SPACE}]+|[.!?]+|[^{_PY_SPACE}.!?]+') AS ts FROM seg),
+t AS (SELECT doc_id, part, unnest(ts) AS t, generate_subscripts(ts, 1) AS k FROM a),
+e AS (SELECT *, CAST(sum(length(t)) OVER (PARTITION BY doc_id, part ORDER BY k) AS BIGINT) AS e FROM t),
+w AS (SELECT *, row_number() OVER (PARTITION BY doc_id, part ORDER BY k) - 1 AS i, count(*) OVER (PARTITION BY doc_id, part) AS n
+      FROM e WHERE NOT regexp_full_match(t, '[{_PY_SPACE}]+')),
+g AS (SELECT doc_id, part, n, CASE WHEN n <= {high} THEN 0 WHEN i // {high} = (n - 1) // {high} AND n - {high} * ((n - 1) // {high}) < {low} THEN i // {high} - 1 ELSE i // {high} END AS g,
+        min(e - length(t)) AS b, max(e) AS e FROM w WHERE n >= {low} GROUP BY ALL),
+z AS (SELECT doc_id, part, b, CASE WHEN n <= {high} THEN text ELSE substr(text, b + 1, e - b) END AS text,
+        CASE WHEN n <= {high} THEN start ELSE start + b END AS start, CASE WHEN n <= {high} THEN "end" ELSE start + e END AS "end" FROM g JOIN a USING (doc_id, part))
+SELECT doc_id, {_EXPLODED} FROM z"""
+
+
+def _folded_sql(legacy: bool, least: int) -> str:
+    """Segments by the token or the legacy engine: a recursion over a document's delimiters that carries the open segment's start.
+
+    Spaces and letters of both scripts are counted up to each delimiter, so a stretch is judged by differences.
+    """
+    tokens = "[.!]+|[^.!]+" if legacy else f"[{_PY_SPACE}]+|[.!?]+|[^{_PY_SPACE}.!?]+"
+    plain = "NOT mark" if legacy else f"NOT mark AND NOT regexp_full_match(t, '[{_PY_SPACE}]+')"
+    last = f"regexp_extract(regexp_replace(word, '[{_PY_SPACE}]+$', ''), '[^ ]*$')" if legacy else "word"
+    letters = lambda kind: f"CAST(sum(length(regexp_replace(t, '[^{kind}]', '', 'g'))) OVER w AS BIGINT)"
+    tail = "e > b AND NOT (foreign_ > f0 AND latin = l0)" if legacy else f"{_strip_sql('substr(text, b + 1)')} <> ''"
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, text, regexp_extract_all(text, '{tokens}') AS ts FROM documents WHERE text IS NOT NULL),
+t AS (SELECT doc_id, unnest(ts) AS t, generate_subscripts(ts, 1) AS k FROM d),
+m AS (SELECT *, contains(t, '.') OR contains(t, '!') AS mark FROM t),
+u AS (SELECT *, CAST(sum(length(t)) OVER w AS BIGINT) AS e, {letters(' ')} AS spaces, {letters(chr(92) + 'x{0F00}-' + chr(92) + 'x{0FFF}')} AS foreign_, {letters('a-zA-Z')} AS latin,
+        last_value(CASE WHEN {plain} THEN t END IGNORE NULLS) OVER w AS word
+      FROM m WINDOW w AS (PARTITION BY doc_id ORDER BY k ROWS UNBOUNDED PRECEDING)),
+p AS MATERIALIZED (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS r, e, spaces, foreign_, latin, contains(t, '!') AS hard,
+        regexp_matches(coalesce({last}, ''), '[0-9]') AS held FROM u WHERE mark),
+f AS (
+  SELECT doc_id, CAST(0 AS BIGINT) AS r, CAST(0 AS BIGINT) AS b, CAST(0 AS BIGINT) AS s0, CAST(0 AS BIGINT) AS f0, CAST(0 AS BIGINT) AS l0, false AS cut, CAST(0 AS BIGINT) AS before FROM d
+  UNION ALL
+  SELECT doc_id, r, CASE WHEN cut THEN e ELSE b END, CASE WHEN cut THEN spaces ELSE s0 END, CASE WHEN cut THEN foreign_ ELSE f0 END, CASE WHEN cut THEN latin ELSE l0 END, cut, b
+  FROM (SELECT p.*, f.b, f.s0, f.f0, f.l0,
+          (hard OR NOT held AND spaces - s0 >= {least}) AND NOT (foreign_ > f0 AND latin = l0) AS cut
+        FROM f JOIN p ON p.doc_id = f.doc_id AND p.r = f.r + 1)),
+o AS (SELECT doc_id, max_by(b, r) AS b, max_by(f0, r) AS f0, max_by(l0, r) AS l0 FROM f GROUP BY doc_id),
+total AS (SELECT doc_id, max(e) AS e, max(foreign_) AS foreign_, max(latin) AS latin FROM u GROUP BY doc_id),
+z AS (SELECT doc_id, 0 AS part, before AS b, before AS start, b AS "end" FROM f WHERE cut UNION ALL
+      SELECT doc_id, 1, b, b, e FROM o JOIN total USING (doc_id) JOIN d USING (doc_id) WHERE {tail}),
+y AS (SELECT doc_id, part, z.b, start, "end", {_strip_sql('substr(text, start + 1, "end" - start)')} AS text FROM z JOIN d USING (doc_id))
+SELECT doc_id, {_EXPLODED} FROM y"""
+
+
+def _regions_sql(seeds: str) -> str:
+    """``regions``: a recursion from the first seed of each region to that of the next, of all pairs at once."""
+    k, gap, pad = SEEDING.k, SEEDING.max_gap, SEEDING.extend
+    return f"""
+q AS ({seeds}),
+s AS MATERIALIZED (SELECT file_a, file_b, pos_a AS a, pos_b AS b, pos_a - pos_b AS d, row_number() OVER w AS rn, lag(pos_a) OVER w AS last
+      FROM q WINDOW w AS (PARTITION BY file_a, file_b ORDER BY pos_a - pos_b, pos_a)),
+h AS (SELECT file_a, file_b, rn, d, a FROM s WHERE rn = 1 UNION ALL
+      SELECT h.file_a, h.file_b, min(s.rn), arg_min(s.d, s.rn), arg_min(s.a, s.rn) FROM h JOIN s ON s.file_a = h.file_a AND s.file_b = h.file_b AND s.rn > h.rn
+      WHERE s.a - s.last > {gap} OR s.d - h.d > {gap} OR s.a - h.a >= {align.MAX_REGION} GROUP BY h.file_a, h.file_b),
+c AS (SELECT s.*, count(h.rn) OVER (PARTITION BY s.file_a, s.file_b ORDER BY s.rn) - 1 AS region FROM s LEFT JOIN h ON h.file_a = s.file_a AND h.file_b = s.file_b AND h.rn = s.rn),
+regions AS (SELECT file_a, file_b, region, count(*) AS n_seeds, CAST(greatest(min(a) - {pad}, 0) AS INTEGER) AS start_a, CAST(max(a) + {k + pad} AS INTEGER) AS end_a,
+      CAST(greatest(min(b) - {pad}, 0) AS INTEGER) AS start_b, CAST(max(b) + {k + pad} AS INTEGER) AS end_b FROM c GROUP BY file_a, file_b, region)"""
+
+
 def _spaces_sql(x: str) -> str:
     """Spaces inside Tibetan, before its punctuation, and around ``_`` and ``/``."""
     x = f"regexp_replace({x}, '([\\x{{0F00}}-\\x{{0FFF}}])[{_PY_SPACE}]+([\\x{{0F00}}-\\x{{0FFF}}])', '\\1\\2', 'g')"
