@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weftline.functions import text as T
 from weftline.functions import tokens as K
 from weftline.functions import vectors as V
-from weftline.functions.profiles import LATIN, TIBETAN
+from weftline.functions.profiles import LATIN, ScriptProfile
 from weftline.functions.translit import ewts
 from weftline.operators import align, embed, enrich, profile, segment, simjoin
 from weftline.plans import pipeline
@@ -137,55 +137,35 @@ def input_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.input_profile(docs, F.col("text"), {"lang": F.col("lang"), "source": F.col("source")}, LATIN)
 
 
-# --- Tibetan cases -----------------------------------------------------------------------
-# The test tables are Latin; these rows decide every rule of the Tibetan profile.
-
-#: A text and its segments, worked out by hand from the boundary rules.
-TIBETAN_SEGMENTS = (
-    ("ཀ་ཁ༎ག་ང", "ཀ་ཁ༎", "ག་ང"),  # strong boundary
-    ("ཀ་ཁ། ག་ང", "ཀ་ཁ། ག་ང"),  # no rule matches
-    ("ཡིན་ནོ། ཀ་ཁ", "ཡིན་ནོ།", "ཀ་ཁ"),  # terminator
-    ("གྱུར་ཅིག། ཀ", "གྱུར་ཅིག།", "ཀ"),  # optative
-    ("བྱས་ནས། ༡ ཀ", "བྱས་ནས། ༡ ཀ"),  # a gerund blocks a section marker
-    ("ཀ་དང། གལ་ཏེ ཀ", "ཀ་དང། གལ་ཏེ ཀ"),  # a particle blocks a sentence opener
-    ("ཀ་པར། དེ་ནས ཁ", "ཀ་པར། དེ་ནས ཁ"),  # adverbialiser
-    ("ཀ་ནི། དེ་ནས ཁ", "ཀ་ནི། དེ་ནས ཁ"),  # topic marker
-    ("ཇི་ལྟར་སོང་ངོ། ཀ", "ཇི་ལྟར་སོང་ངོ། ཀ"),  # a correlative waits
-    ("ཇི་ལྟར་དེ་ལྟར་སོང་ངོ། ཀ", "ཇི་ལྟར་དེ་ལྟར་སོང་ངོ།", "ཀ"),  # the correlative is complete
-    ("ཀ་ཁ། ༡ ག", "ཀ་ཁ།", "༡ ག"),  # section marker
-    ("ཀ་ཁ། གལ་ཏེ་ག", "ཀ་ཁ།", "གལ་ཏེ་ག"),  # sentence opener
-    ("ཡིན་ནོ་། ཀ", "ཡིན་ནོ་། ཀ"),  # a separator before the delimiter
-    ("abc༎ཀ", "abc༎", "ཀ"),  # the delimiter is script as well
-    ("ཀ༎abc", "ཀ༎"),  # foreign text only
-)
-#: A text, its transliteration, and the text without spaces inside the script.
-TIBETAN_TEXTS = (
-    ("བོད་ཡིག", "bod yig", "བོད་ཡིག"),
-    ("སངས་རྒྱས།", "sangs rgyas/", "སངས་རྒྱས།"),
-    ("བཀྲ་ཤིས་བདེ་ལེགས།", "bkra shis bde legs/", "བཀྲ་ཤིས་བདེ་ལེགས།"),
-    ("abc 12", "abc 12", "abc 12"),
-    ("༡༢", "12", "༡༢"),
-    ("", "", ""),
-)
+# --- Rules and scripts on the given tables -------------------------------------------------
+# The tables are Latin.  A Latin profile with weak boundaries takes the rules through every
+# document, and letters written as syllables take whole tables through transliteration.
 
-
-def tibetan_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rules engine on hand-made Tibetan texts."""
-    texts = spark.createDataFrame([(i, x[0]) for i, x in enumerate(TIBETAN_SEGMENTS)], "case_id long, text string")
-    rows = segment.exploded(texts.withColumn("atoms", segment.segment_atoms(F.col("text"), TIBETAN)), ["case_id"])
-    return rows.select("case_id", F.col("segment_order").cast("long").alias("segment_order"), "text")
+#: Full stops are strong, commas are boundaries by the words around them.
+CLAUSES = ScriptProfile(
+    name="clauses", delimiters=".,", separator=" ", script="a-zA-Z", foreign=r"ༀ-࿿", strong_chars=".", digits="0-9",
+    terminators=frozenset("re that is".split()), blocking=frozenset("and or the of".split()), sentence_initial=frozenset("with for to".split()),
+)
+#: A letter of the alphabet, the syllable that stands for it, and its transliteration (fixed values).
+LETTERS = tuple(zip(
+    "abcdefghijklmnopqrstuvwxyz", "ཀཁགངཅཆཇཉཏཐདནཔཕབམཙཚཛཝཞཟཡརལས",
+    "ka kha ga nga ca cha ja nya ta tha da na pa pha ba ma tsa tsha dza wa zha za ya ra la sa".split(), strict=True,
+))
 
 
-def tibetan_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transliteration and removal of spaces on hand-made Tibetan texts."""
-    texts = spark.createDataFrame([(i, x[0]) for i, x in enumerate(TIBETAN_TEXTS)], "case_id long, text string")
-    spaced = F.concat(F.lit("  "), F.col("text"), F.lit(" "))
-    return texts.select("case_id", ewts(F.col("text")).alias("ewts"), T.remove_script_spaces(spaced).alias("closed"))
+def clause_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by rules with strong and weak boundaries."""
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return segment.exploded(docs.withColumn("atoms", segment.segment_atoms(F.col("text"), CLAUSES)), ["doc_id"])
 
 
-def _values(rows: list[tuple]) -> str:
-    cell = lambda x: str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
-    return "VALUES " + ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rows)
+def syllable_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns with their letters as syllables, spaced out: the script without spaces and its transliteration."""
+    letters = F.regexp_replace(F.lower("text"), "[^a-z.]", "")
+    syllables = F.regexp_replace(F.translate(letters, "".join(x[0] for x in LETTERS) + ".", "".join(x[1] for x in LETTERS) + "།"), "([^།])", "$1་ ")
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", syllables.alias("spaced"))
+    closed = T.remove_script_spaces(F.col("spaced"))
+    return rows.select("conv_id", "turn", closed.alias("closed"), ewts(closed).alias("ewts"))
 
 
 # --- Segmentation ------------------------------------------------------------------------
@@ -363,7 +343,7 @@ def queries() -> dict:
         l2_normalize, cosine_matrix, mean_pooling, sanitize_text, clean_text, normalize_spaces, sanitize_filename, word_features,
         split_parts, transliterated_tokens, transliterate, input_profile, rule_segments, delimiter_segments, token_segments,
         legacy_segments, syllable_segments, word_segments, overlapping_spans, segments_per_document, syllable_distance,
-        tibetan_segments, tibetan_texts, token_overlap, mapping_type, lexical_similarity, full_pipeline, dense_text, kmer_counts, seed_pairs, seed_pairs_within,
+        clause_segments, syllable_texts, token_overlap, mapping_type, lexical_similarity, full_pipeline, dense_text, kmer_counts, seed_pairs, seed_pairs_within,
         seed_regions, largest_regions, local_align, waterfall, review_rows, document_records,
     ):
         found[f.__name__] = f
@@ -457,10 +437,8 @@ def oracle_sql() -> dict[str, str]:
         "seed_pairs_within": f"""SELECT a.name AS file_a, b.name AS file_b, a.pos AS pos_a, b.pos AS pos_b
             FROM {pruned('benchmark', 'item_id', 8)} a JOIN {pruned('benchmark', 'item_id', 8)} b ON a.kmer = b.kmer AND a.name < b.name""",
         "normalize_spaces": f"SELECT page_id, {_spaces_sql('html')} AS text FROM pages",
-        "tibetan_segments": "SELECT * FROM ("
-        + _values([(i, k, seg) for i, (_, *segs) in enumerate(TIBETAN_SEGMENTS) for k, seg in enumerate(segs, 1)])
-        + ") AS t(case_id, segment_order, text)",
-        "tibetan_texts": f"SELECT * FROM ({_values([(i, x[1], x[2]) for i, x in enumerate(TIBETAN_TEXTS)])}) AS t(case_id, ewts, closed)",
+        "clause_segments": _clauses_sql(CLAUSES),
+        "syllable_texts": _syllable_texts_sql(),
         "syllable_distance": f"WITH RECURSIVE {_distance_sql(every)} SELECT conv_id, turn_a, d AS wylie_syllable_distance FROM dist",
         "mapping_type": f"""WITH RECURSIVE {_distance_sql(every)},
             k AS (SELECT a.conv_id, a.turn AS turn_a, {tokens("coalesce(a.text, '')")} AS a, {tokens("coalesce(b.text, '')")} AS b
@@ -558,6 +536,48 @@ y AS (SELECT doc_id, part, z.b, start, "end", {_strip_sql('substr(text, start +
 SELECT doc_id, {_EXPLODED} FROM y"""
 
 
+def _clauses_sql(p: ScriptProfile) -> str:
+    """Segments by strong and weak boundaries: a recursion over a document's delimiters that carries the open segment's start.
+
+    The word before a delimiter begins after the last space or with the segment.
+    """
+    listed = lambda words: "(" + ", ".join(f"'{w}'" for w in sorted(words)) + ")"
+    opens = " OR ".join(f"starts_with({_strip_sql('coalesce(after, chr(0))')}, '{w}')" for w in sorted(p.section_markers | p.sentence_initial))
+    word = "substr(word, greatest(f.b - place, 0) + 1)"
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, text, regexp_extract_all(text, '[.,]+|[{_PY_SPACE}]+|[^{_PY_SPACE}.,]+') AS ts FROM documents WHERE text <> ''),
+t AS (SELECT doc_id, unnest(ts) AS t, generate_subscripts(ts, 1) AS k FROM d),
+e AS (SELECT *, CAST(sum(length(t)) OVER (PARTITION BY doc_id ORDER BY k) AS BIGINT) AS e, regexp_full_match(t, '[.,]+') AS mark, regexp_full_match(t, '[{_PY_SPACE}]+') AS space FROM t),
+u AS (SELECT *, max(CASE WHEN NOT mark AND NOT space THEN e END) OVER w AS solid, count(CASE WHEN mark THEN 1 END) OVER w AS marks,
+        max(CASE WHEN contains(t, ' ') THEN e - length(regexp_extract(t, '[^ ]*$')) END) OVER w AS space_end
+      FROM e WINDOW w AS (PARTITION BY doc_id ORDER BY k ROWS UNBOUNDED PRECEDING)),
+-- The last space before the last character that is neither delimiter nor space.
+v AS (SELECT *, coalesce(max(CASE WHEN NOT mark AND NOT space THEN space_end END) OVER (PARTITION BY doc_id ORDER BY k ROWS UNBOUNDED PRECEDING), 0) AS place FROM u),
+n AS (SELECT doc_id, marks, string_agg(t, '' ORDER BY k) AS after FROM u WHERE NOT mark GROUP BY doc_id, marks),
+p AS MATERIALIZED (SELECT v.doc_id, v.marks AS r, e, contains(t, '.') AS strong, coalesce(solid, 0) AS solid, place,
+        substr(text, CAST(place + 1 AS BIGINT), CAST(greatest(coalesce(solid, 0) - place, 0) AS BIGINT)) AS word, {opens} AS opens
+      FROM v JOIN d USING (doc_id) LEFT JOIN n ON n.doc_id = v.doc_id AND n.marks = v.marks WHERE mark),
+f AS (
+  SELECT doc_id, CAST(0 AS BIGINT) AS r, CAST(0 AS BIGINT) AS b, false AS cut, CAST(0 AS BIGINT) AS before FROM d
+  UNION ALL
+  SELECT doc_id, r, CASE WHEN cut THEN e ELSE b END, cut, b
+  FROM (SELECT p.*, f.b, strong OR solid > f.b AND {word} <> '' AND {word} NOT IN {listed(p.blocking)} AND ({word} IN {listed(p.terminators)} OR opens) AS cut
+        FROM f JOIN p ON p.doc_id = f.doc_id AND p.r = f.r + 1)),
+o AS (SELECT doc_id, max(b) AS b FROM f GROUP BY doc_id),
+z AS (SELECT doc_id, before AS start, b AS "end" FROM f WHERE cut UNION ALL
+      SELECT doc_id, b, length(text) FROM o JOIN d USING (doc_id) WHERE b < length(text)),
+y AS (SELECT doc_id, 0 AS part, start AS b, start, "end", {_strip_sql('substr(text, start + 1, "end" - start)')} AS text FROM z JOIN d USING (doc_id))
+SELECT doc_id, {_EXPLODED} FROM y WHERE NOT (regexp_matches(text, '[\x{{0F00}}-\x{{0FFF}}]') AND NOT regexp_matches(text, '[a-zA-Z]'))"""
+
+
+def _syllable_texts_sql() -> str:
+    letters = "regexp_extract_all(regexp_replace(lower(text), '[^a-z.]', '', 'g'), '.')"
+    each = lambda k, end, stop: "CASE c " + " ".join(f"WHEN '{x[0]}' THEN '{x[k]}{end}'" for x in LETTERS) + f" ELSE '{stop}' END"
+    joined = lambda k, end, stop: f"array_to_string(list_transform({letters}, lambda c: {each(k, end, stop)}), '')"
+    return f"""SELECT conv_id, turn, {joined(1, '་', '།')} AS closed,
+        regexp_replace({joined(2, ' ', '/')}, ' $', ' ') AS ewts FROM conversations"""
+
+
 def _regions_sql(seeds: str) -> str:
     """``regions``: a recursion from the first seed of each region to that of the next, of all pairs at once."""
     k, gap, pad = SEEDING.k, SEEDING.max_gap, SEEDING.extend
