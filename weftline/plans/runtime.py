@@ -154,11 +154,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes of an Arrow batch from which a few very long texts close it.
+BATCH_BYTES = 32 << 20
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches of at most ``rows`` rows, so a batch of very long texts stays small."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows:
-        spark.conf.set(key, rows)
+    """Arrow batches of at most ``rows`` rows and about ``BATCH_BYTES`` bytes, so a batch of very long texts stays small.
+
+    Set for the session: plans read it when they run, which may be later than this.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        held = int(str(spark.conf.get(key)).rstrip("bB"))
+        if not 0 < held <= most:
+            spark.conf.set(key, most)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -172,4 +180,4 @@ def spread(df: DataFrame) -> DataFrame:
     read as they are, without a shuffle.  Select the columns first.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if len(df._jdf.inputFiles()) < cores else df  # counted there, no path comes here
