@@ -89,3 +89,13 @@ def test_ewts():
 def test_parts_rebuild_the_text(text):
     marks = re.escape(TIBETAN.delimiters)
     assert "".join(re.findall(f"[{marks}]+|[^{marks}]+", text)) == text
+
+
+def test_clean_foreign_for_any_white_space(spark):
+    """Runs of letters that go and of white space of all kinds, against Python; single spaces aren't replaced."""
+    texts = ["", " ", "\t", "a\tb", "a   b", "　a1 2b\n", "1 2 3", " x  y  z ", "ཀaཀཀ b"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = [" ".join(re.sub(r"[^a-zA-Z\s]", "", t).split()) for t in texts]
+    cleaned = T.clean_foreign(F.col("t"), LATIN)
+    assert [r[0] for r in df.select(cleaned).collect()] == want
+    assert "{2,}" in df.select(cleaned)._jdf.queryExecution().optimizedPlan().toString()
