@@ -281,3 +281,17 @@ def test_plans_prune_and_push_down(spark, sf_dir):
     df = read_table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan and "text" not in plan.split("ReadSchema")[1]
+
+
+def test_matches_meet_their_segments_once(spark):
+    """Texts and lexical vectors come with one join a side; what the enricher looks up by itself is the same."""
+    text = "One two three four. Five six seven eight. "
+    docs = spark.createDataFrame([(i, text + f"Nine ten {i} eleven. " + "Five six seven nine.", f"f{i}") for i in range(1, 5)], "line_number long, text string, file_id string")
+    config = PipelineConfig(segment=LATIN.segment, embed=LATIN.embed, detect=JoinConfig(threshold=0.6))
+    out = pipeline.run(docs, config)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 3 and plan.count("Join LeftOuter") == 0  # rings, and either side
+    vectors = pipeline.run(docs, config, ("detect",))
+    apart = pipeline.enrich_matches(pipeline.detect_matches(vectors, config), vectors, config)
+    assert out.columns == apart.columns and out.where("sim_lexical IS NOT NULL").count() > 6
+    assert sorted(map(str, out.collect())) == sorted(map(str, apart.collect()))
