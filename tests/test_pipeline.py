@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import re
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -295,3 +296,15 @@ def test_matches_meet_their_segments_once(spark):
     apart = pipeline.enrich_matches(pipeline.detect_matches(vectors, config), vectors, config)
     assert out.columns == apart.columns and out.where("sim_lexical IS NOT NULL").count() > 6
     assert sorted(map(str, out.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_matches_bring_their_texts_along(spark):
+    """Where tiles are read past each other, texts and lexical similarities come with the hits: matches are joined with nothing."""
+    text = "One two three four. Five six seven eight. "
+    docs = spark.createDataFrame([(i, text + f"Nine ten {i} eleven. " + "Five six seven nine.", f"f{i}") for i in range(1, 9)], "line_number long, text string, file_id string")
+    config = PipelineConfig(segment=LATIN.segment, embed=LATIN.embed, detect=JoinConfig(threshold=0.6))
+    want = pipeline.run(docs, config)
+    out = pipeline.run(docs, replace(config, detect=JoinConfig(threshold=0.6, block_rows=12, tile_blocks=1, pivots=1)))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1  # tiles with tiles
+    assert out.dtypes == want.dtypes and out.where("sim_lexical IS NOT NULL").count() > 20
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
